@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boardloom.llm import corpus_tokens, format_duplicates
+from boardloom.llm import corpus_tokens, format_duplicates, mojibake
 from boardloom.plans.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,8 @@ def queries() -> dict[str, Query]:
     """Name and query of each problem in this package."""
     return {
         "p2_found": lambda s, d: format_duplicates.finding_copies(table(s, d, "findings")),
+        "p4_found": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key"),
+        "p4_restored": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key", "restored"),
         "p7_ids": lambda s, d: corpus_tokens.document_ids(table(s, d, "documents")),
     }
 
