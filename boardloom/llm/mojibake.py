@@ -87,7 +87,7 @@ def _letter_cost(ch: str, left: str, right: str, before: str) -> float:
     if ch in "ªº":
         return 0.5 if left.isdigit() or left in ".aonr" and left else 2.5
     if not near and ch in "èÈàÀòÒ":
-        return 0.2
+        return 0.4
     if ch == "ƒ" or not near:
         return 2.5
     if ch.isupper() and left.islower() and not right.isupper():
@@ -118,6 +118,8 @@ def _char_cost(ch: str, left: str, right: str, before: str) -> float:
         return 0.2 if left.isalnum() and (ends or before.lower() in ELIDED) else 1.0 if left.isalpha() else 0.5
     if ch in _OPEN:
         return (0.2 if starts and right and not right.isspace() else 1.5) + (ch in "„‹") * 1.0
+    if ch == "»" and starts and (not right or right.isspace()):
+        return 0.5  # an item mark
     if ch in _CLOSE:
         return (0.2 if ends and left and not left.isspace() else 1.5) + (ch == "›") * 1.0
     if ch in "–—":

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boardloom.llm import corpus_tokens, format_duplicates, mojibake
+from boardloom.llm import corpus_tokens, format_duplicates, mojibake, truncation
 from boardloom.plans.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,8 @@ def queries() -> dict[str, Query]:
         "p2_found": lambda s, d: format_duplicates.finding_copies(table(s, d, "findings")),
         "p4_found": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key"),
         "p4_restored": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key", "restored"),
+        "p6_found": lambda s, d: truncation.cut_titles(table(s, d, "findings"), table(s, d, "schools")).select("row_id"),
+        "p6_rates": lambda s, d: truncation.cut_rates(table(s, d, "findings"), table(s, d, "schools")),
         "p7_ids": lambda s, d: corpus_tokens.document_ids(table(s, d, "documents")),
     }
 
