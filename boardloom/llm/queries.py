@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boardloom.llm import canonical_values, corpus_tokens, format_duplicates, mojibake, truncation
+from boardloom.llm import canonical_values, corpus_tokens, format_duplicates, history_dedup, mojibake, truncation
 from boardloom.plans.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "p1_found": lambda s, d: canonical_values.canonical_findings(table(s, d, "findings"), table(s, d, "reference_items")).select("row_id", "field", "item_id"),
         "p1_unmatched": lambda s, d: canonical_values.unmatched(table(s, d, "findings"), table(s, d, "reference_items")),
         "p2_found": lambda s, d: format_duplicates.finding_copies(table(s, d, "findings")),
+        "p3_found": lambda s, d: history_dedup.known_findings(table(s, d, "findings")),
         "p4_found": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key"),
         "p4_restored": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key", "restored"),
         "p6_found": lambda s, d: truncation.cut_titles(table(s, d, "findings"), table(s, d, "schools")).select("row_id"),
