@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boardloom.llm import canonical_values, corpus_tokens, format_duplicates, history_dedup, mojibake, truncation
+from boardloom.llm import canonical_values, corpus_tokens, format_duplicates, history_dedup, mixture, mojibake, subjects, truncation
 from boardloom.plans.work import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def queries() -> dict[str, Query]:
         "p6_found": lambda s, d: truncation.cut_titles(table(s, d, "findings"), table(s, d, "schools")).select("row_id"),
         "p6_rates": lambda s, d: truncation.cut_rates(table(s, d, "findings"), table(s, d, "schools")),
         "p7_ids": lambda s, d: corpus_tokens.document_ids(table(s, d, "documents")),
+        "p8_mix": lambda s, d: mixture.mix(table(s, d, "documents"), table(s, d, "mix_targets")),
+        "p8_shares": lambda s, d: mixture.mix_report(table(s, d, "documents"), table(s, d, "mix_targets")),
+        "p9_found": lambda s, d: subjects.document_subjects(*(table(s, d, t) for t in ("documents", "subject_labels", "subjects"))),
+        "p9_composition": lambda s, d: subjects.composition(*(table(s, d, t) for t in ("documents", "subject_labels", "subjects"))),
     }
 
 
