@@ -1,10 +1,12 @@
-"""Scoring of titles and bodies with a rule pack: the rules become one column expression each."""
+"""Scoring of titles and bodies with a rule pack.
 
-from __future__ import annotations
+The work is staged over projections: normal forms first, then one array of hits per tier, then the sums. Every
+pattern is so evaluated once a row; a single nested expression would normalise the text anew for each pattern.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardloom.functions.rules import RulePack
@@ -13,57 +15,62 @@ from boardloom.functions.text import normalized
 _FLAGS = "(?Ud)"
 
 
-def _hits(text: Column, patterns: tuple[str, ...], hint: str | None) -> list[Column]:
-    found = [text.rlike(_FLAGS + p) for p in patterns]
-    return [F.when(text.rlike(hint), f).otherwise(False) for f in found] if hint else found
+def _hits(text: Column, patterns: tuple[str, ...], hint: str | None = None) -> Column:
+    """array<boolean>: which patterns occur; all false without a look where the hint doesn't."""
+    found = F.array(*[text.rlike(_FLAGS + p) for p in patterns])
+    none = F.array_repeat(F.lit(False), len(patterns))
+    return F.when(text.rlike(hint), found).otherwise(none) if hint else found
 
 
-def scored(head: Column, hay: Column, pack: RulePack) -> Column:
-    """struct<score, strong, title_hit, category, veto, trace> of normalised texts; `hay` holds head and body.
+def _first(hits: Column, names: tuple[str, ...]) -> Column:
+    """Name of the first hit, NULL without one."""
+    return F.get(F.array(*map(F.lit, names)), F.array_position(hits, True).cast("int") - 1) if names else F.lit(None).cast("string")
 
-    The weights are added in the pack's order, as doubles, and clamped to 0..1 at the end; the score is not
-    rounded. `trace` lists what was found, `veto` the first veto.
-    """
-    total, trace, title = F.lit(0.0), [], []
-    strong = F.lit(False)
-    for tier, patterns, (anywhere, in_title) in (("strong", pack.strong, pack.strong_weight), ("medium", pack.medium, pack.medium_weight)):
-        at, up = _hits(hay, patterns, pack.hints.get(tier)), _hits(head, patterns, pack.hints.get(tier))
-        for p, a, t in zip(patterns, at, up, strict=True):
-            total = total + F.when(a, anywhere).otherwise(0.0)
-            total = total + F.when(a & t, in_title).otherwise(0.0)
-            trace.append(F.when(a, p))
-            title.append(a & t)
-        if tier == "strong":
-            strong = reduce(lambda x, y: x | y, at, strong)
-    weak = sum((x.cast("int") for x in _hits(hay, pack.weak, pack.hints.get("weak"))), F.lit(0))
-    total = total + F.least(weak, F.lit(pack.weak_weight[1])) * pack.weak_weight[0]
-    for p, g in zip(pack.guards, _hits(hay, pack.guards, None), strict=True):
-        total = total - F.when(g, pack.guard_weight).otherwise(0.0)
-        trace.append(F.when(g, "-" + p))
-    veto = F.coalesce(*[F.when(x, p) for p, x in zip(pack.vetoes, _hits(hay, pack.vetoes, None), strict=True)], F.lit(None).cast("string"))
-    category = F.coalesce(*[F.when(reduce(lambda x, y: x | y, _hits(hay, ps, None)), name) for name, ps in pack.categories], F.lit(pack.otherwise))
-    return F.struct(
-        F.greatest(F.lit(0.0), F.least(total, F.lit(1.0))).alias("score"),
-        strong.alias("strong"),
-        reduce(lambda x, y: x | y, title, F.lit(False)).alias("title_hit"),
-        category.alias("category"),
-        veto.alias("veto"),
-        F.filter(F.array(*trace), lambda x: x.isNotNull()).alias("trace"),
-    )
-
-
-def classified(text: Column, title: Column, pack: RulePack, threshold: float = 0.45, veto: bool = True, require_strong: bool = False) -> Column:
-    """struct<is_match, score, category, signals, title_hit> of a text with a title.
-
-    A match needs the threshold (on the unrounded score), no veto where `veto`, and a strong rule where
-    `require_strong`. NULL texts are empty texts.
+
+def _named(hits: Column, names: tuple[str, ...], mark: str = "") -> Column:
+    pairs = F.arrays_zip(hits.alias("h"), F.array(*[F.lit(mark + n) for n in names]).alias("n"))
+    return F.transform(F.filter(pairs, lambda x: x["h"]), lambda x: x["n"])
+
+
+def classify(df: DataFrame, text: Column, title: Column, pack: RulePack, threshold: float = 0.45, veto: bool = True, require_strong: bool = False, out: str = "c") -> DataFrame:
+    """df with struct `out`: is_match, score, category, signals, title_hit.
+
+    The weights are added in the pack's order, as doubles, and clamped to 0..1 at the end. A match needs the
+    threshold (on the unrounded score), no veto where `veto`, and a strong rule where `require_strong`.
+    Patterns are looked for in title and text joined by a space. NULL texts are empty texts.
     """
-    head = normalized(title)
-    found = scored(head, F.concat(head, F.lit(" "), normalized(text)), pack)
-    match = found["score"] >= threshold
+    d = df.withColumns({"__head": normalized(title), "__body": normalized(text)}).withColumn("__hay", F.concat("__head", F.lit(" "), "__body"))
+    head, hay = F.col("__head"), F.col("__hay")
+    tiers = {
+        "__strong": _hits(hay, pack.strong, pack.hints.get("strong")),
+        "__strong_up": _hits(head, pack.strong, pack.hints.get("strong")),
+        "__medium": _hits(hay, pack.medium),
+        "__medium_up": _hits(head, pack.medium),
+        "__weak": _hits(hay, pack.weak),
+        "__guard": _hits(hay, pack.guards),
+        "__cat": F.array(*[hay.rlike(_FLAGS + "(?:" + "|".join(ps) + ")") for _, ps in pack.categories]),
+    }
     if veto:
-        match = match & found["veto"].isNull()
+        tiers["__veto"] = _hits(hay, pack.vetoes)
+    d = d.withColumns(tiers)
+
+    def weighed(at: str, up: str, weights: tuple[float, float]) -> Column:
+        pairs = F.arrays_zip(F.col(at).alias("a"), F.col(up).alias("u"))
+        parts = F.transform(pairs, lambda x: F.array(F.when(x["a"], weights[0]).otherwise(0.0), F.when(x["a"] & x["u"], weights[1]).otherwise(0.0)))
+        return F.flatten(parts)
+
+    weak = F.size(F.filter("__weak", lambda x: x))
+    lift = F.array(F.least(weak, F.lit(pack.weak_weight[1])) * F.lit(pack.weak_weight[0]))
+    guards = F.transform("__guard", lambda x: F.when(x, -pack.guard_weight).otherwise(0.0))
+    steps = F.concat(weighed("__strong", "__strong_up", pack.strong_weight), weighed("__medium", "__medium_up", pack.medium_weight), lift, guards)
+    total = F.aggregate(steps, F.lit(0.0), lambda acc, x: acc + x)
+    d = d.withColumn("__score", F.greatest(F.lit(0.0), F.least(total, F.lit(1.0))))
+    first_veto = _first(F.col("__veto"), pack.vetoes) if veto else F.lit(None).cast("string")
+    match = (F.col("__score") >= threshold) & first_veto.isNull()
     if require_strong:
-        match = match & found["strong"]
-    signals = F.concat(found["trace"], F.when(found["veto"].isNotNull(), F.array(F.concat(F.lit("VETO:"), found["veto"]))).otherwise(F.array().cast("array<string>"))) if veto else found["trace"]
-    return F.struct(match.alias("is_match"), F.round(found["score"], 3).alias("score"), found["category"].alias("category"), signals.alias("signals"), found["title_hit"].alias("title_hit"))
+        match = match & F.exists("__strong", lambda x: x)
+    up = F.exists(F.arrays_zip("__strong", "__strong_up"), lambda x: x["__strong"] & x["__strong_up"]) | F.exists(F.arrays_zip("__medium", "__medium_up"), lambda x: x["__medium"] & x["__medium_up"])
+    signals = F.concat(_named(F.col("__strong"), pack.strong), _named(F.col("__medium"), pack.medium), _named(F.col("__guard"), pack.guards, "-"), F.when(first_veto.isNotNull(), F.array(F.concat(F.lit("VETO:"), first_veto))).otherwise(F.array().cast("array<string>")))
+    category = F.coalesce(_first(F.col("__cat"), tuple(n for n, _ in pack.categories)), F.lit(pack.otherwise))
+    told = F.struct(match.alias("is_match"), F.round("__score", 3).alias("score"), category.alias("category"), signals.alias("signals"), up.alias("title_hit"))
+    return d.select(*df.columns, told.alias(out))

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boardloom.functions.urls import absolute, stripped
 
@@ -28,7 +29,7 @@ LISTING_NOISE = r"(?i)titolari di incaric|premi e concors"
 SNIPPET_WORDS = ("esperto esterno", "esperti esterni", "esperto madrelingua", "esperto")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without_accents(texts: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks: the one form Spark has no function for."""
     return texts.map(lambda t: t if t is None or t.isascii() else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))

@@ -57,7 +57,7 @@ def normalize_url(c: Column) -> Column:
     kept = F.filter(told, lambda p: (p["v"] != "") & ~F.lower(p["k"]).isin(*NOISE_PARAMETERS))
     query = F.array_join(F.transform(F.array_sort(kept), lambda p: F.concat(_encoded(p["k"]), F.lit("="), _encoded(p["v"]))), "&")
     scheme, netloc = F.lower(part(url, "scheme")), F.lower(part(url, "netloc"))
-    path = F.regexp_replace(part(url, "path"), "/+$", "")
+    path = F.regexp_replace(part(url, "path"), r"/+\z", "")
     return F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
         F.when(netloc != "", F.concat(F.lit("//"), netloc)).otherwise(""),
@@ -77,7 +77,7 @@ def _encoded(c: Column) -> Column:
 def compare_key(c: Column) -> Column:
     """Key to compare two sets of documents: host without www. and path, in lower case; port kept."""
     url = F.lower(stripped(c))
-    return F.concat(_no_www(part(url, "netloc")), F.regexp_replace(part(url, "path"), "/+$", ""))
+    return F.concat(_no_www(part(url, "netloc")), F.regexp_replace(part(url, "path"), r"/+\z", ""))
 
 
 def host_of(netloc: Column) -> Column:
@@ -88,12 +88,12 @@ def host_of(netloc: Column) -> Column:
 def site_key(c: Column) -> Column:
     """Key of a site: host and path; different schools on a shared platform stay apart by their path."""
     url = F.when(F.contains(c, F.lit("://")), c).otherwise(F.concat(F.lit("http://"), c))
-    return F.concat(host_of(part(url, "netloc")), F.lower(F.regexp_replace(part(url, "path"), "/+$", "")))
+    return F.concat(host_of(part(url, "netloc")), F.lower(F.regexp_replace(part(url, "path"), r"/+\z", "")))
 
 
 def page_key(c: Column) -> Column:
     """A page within one crawl: the URL without fragment and closing slashes."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?s)#.*$", ""), "/+$", "")
+    return F.regexp_replace(F.regexp_replace(c, r"(?s)#.*$", ""), r"/+\z", "")
 
 
 def root_of(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardloom.functions.rules import EXPERTS, RulePack
-from boardloom.functions.scoring import classified
+from boardloom.functions.scoring import classify
 from boardloom.functions.text import SEARCH_PAGE, is_listing, links, listing_rank, platform, snippet, visible_text
 from boardloom.functions.urls import fallback_urls, page_key, part, root_of, same_site
 
@@ -108,10 +108,10 @@ def page_events(read: DataFrame, pack: RulePack = EXPERTS, threshold: float = 0.
     base = read.select("code", "page_seq", "page_url", "html")
     anchors = base.select("code", "page_seq", F.explode(links(F.col("html"), F.col("page_url"))).alias("l"))
     anchors = anchors.where((F.length("l.text") >= MIN_LINK) & ~F.col("l.href").rlike(SEARCH_PAGE))
-    anchors = anchors.withColumn("c", classified(F.col("l.text"), F.col("l.text"), pack, threshold)).where("c.is_match")
+    anchors = classify(anchors, F.col("l.text"), F.col("l.text"), pack, threshold).where("c.is_match")
     a = anchors.select("code", F.col("l.href").alias("url"), F.struct("page_seq", F.lit(0).alias("k"), F.col("l.pos").alias("pos")).alias("seq"), F.lit("anchor").alias("kind"), F.substring("l.text", 1, 300).alias("title"), "c.category", "c.score")
     bodies = base.where(~F.col("page_url").rlike(SEARCH_PAGE)).withColumn("body", visible_text(F.col("html")))
-    bodies = bodies.withColumn("c", classified(F.col("body"), F.lit(""), pack, max(threshold, BODY_THRESHOLD), veto=False, require_strong=True)).where("c.is_match")
+    bodies = classify(bodies, F.col("body"), F.lit(""), pack, max(threshold, BODY_THRESHOLD), veto=False, require_strong=True).where("c.is_match")
     b = bodies.select("code", F.col("page_url").alias("url"), F.struct("page_seq", F.lit(1).alias("k"), F.lit(0).alias("pos")).alias("seq"), F.lit("page").alias("kind"), snippet(F.col("body")).alias("title"), "c.category", "c.score")
     return a.unionByName(b)
 

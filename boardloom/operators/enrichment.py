@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boardloom.functions.dates import deadline
 from boardloom.functions.text import is_noise_page, links, visible_text, word_key
@@ -32,7 +33,7 @@ def document_rank(text: Column) -> Column:
     return F.when(text.rlike(READ_FIRST), 1).otherwise(0) - F.when(text.rlike(READ_LAST), 1).otherwise(0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def likeness(wanted: pd.Series, text: pd.Series) -> pd.Series:
     """Likeness of a title and a text: matching runs of characters and shared words of five letters and more.
 
