@@ -32,5 +32,12 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL of the queries that have one."""
-    return {}
+    """DuckDB SQL of the queries that have one; the others are tested against brute force on fixtures."""
+    bare = r"lower(regexp_replace(coalesce(url, ''), '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g'))"
+    return {
+        "p2_found": rf"""
+        WITH c AS (SELECT row_id, school_code, list_sort(regexp_extract_all(lower(upper(coalesce(title, ''))), '[\p{{L}}\p{{N}}]+')) AS words, {bare} AS u FROM findings),
+        k AS (SELECT row_id, school_code, words, regexp_replace(regexp_extract(u, '^([^?#]*)', 1), '/$', '') AS path, list_sort(string_split(regexp_extract(u, '^[^?#]*[?]([^#]*)', 1), '&')) AS params, regexp_extract(u, '#.*$') AS place FROM c),
+        g AS (SELECT row_id, min(row_id) OVER (PARTITION BY school_code, words, path, params, place) AS kept_row_id FROM k)
+        SELECT kept_row_id, row_id FROM g WHERE row_id <> kept_row_id""",
+    }
