@@ -2,7 +2,7 @@
 
 Texts up to a chunk are encoded as they are. Longer ones are cut into overlapping chunks that are
 pre-tokenised in parallel; neighbours are stitched at the first pre-token boundary of the overlap that both
-found, from where on both must agree, and the pieces between such boundaries are encoded independently.
+found, which no start could have changed, and the pieces between such boundaries are encoded independently.
 Where a chunk and its predecessor never resynchronise (one pre-token longer than the overlap) the two stay
 one piece, so the ids are exactly those of the whole text.
 """
@@ -68,19 +68,23 @@ def _cut(chunk: int, overlap: int):
 
 
 def _bounds(chunk: int, overlap: int):
-    """Pre-token boundaries of each chunk near its start and in its overlap, relative to the chunk's end of base."""
+    """Resynchronisation points of each chunk: near its start, and in its overlap relative to the end of its base.
+
+    A pre-token boundary counts if it holds wherever pre-tokenising began: no pre-token spans a change of
+    character class, but for white space before a word and an apostrophe before letters.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         pattern = regex.compile(PATTERN)
+        firm = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\p{L}\s])|(?<=\p{N})(?=[^\p{N}\s])|(?<=[^\s\p{L}\p{N}])(?=\p{N})")
         for batch in batches:
             heads, tails = [], []
             for text in batch.column("text").to_pylist():
-                starts = [m.start() for m in pattern.finditer(text)]
-                heads.append([s for s in starts if s < overlap])
-                # the last two pre-tokens touch the cut and may be wrong
-                tails.append([s - chunk for s in (starts[:-2] if len(text) > chunk else []) if s >= chunk])
+                starts = {m.start() for m in pattern.finditer(text)} & {m.start() for m in firm.finditer(text)}
+                heads.append(sorted(s for s in starts if 0 < s < overlap))
+                tails.append(sorted(s - chunk for s in starts if s >= chunk))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))], names=[*batch.schema.names, "heads", "tails"])
 
     return run

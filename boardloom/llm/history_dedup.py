@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -287,13 +288,15 @@ class HistoryIndex:
         self.spark, self.folder = spark, folder
         self.frequent = np.array([], np.int64) if frequent is None else frequent
         self.runs: list[str] = []
+        self.made = 0
 
     def _read(self, what: str) -> DataFrame | None:
-        return self.spark.read.parquet(*[f"{r}/{what}" for r in self.runs]) if self.runs else None
+        return reduce(DataFrame.unionByName, [self.spark.read.parquet(f"{r}/{what}") for r in self.runs]) if self.runs else None
 
     def _write(self, signed: DataFrame, texts: DataFrame, name: str) -> None:
         ranged = signed.withColumn("kr", F.shiftrightunsigned("key", 64 - 6).cast("int"))
-        run = f"{self.folder}/{name}"
+        run = f"{self.folder}/{name}-{self.made:06d}"
+        self.made += 1
         ranged.repartition("kr").sortWithinPartitions("kr", "key", "ts", "row_id").write.partitionBy("kr").parquet(f"{run}/keys")
         texts.repartitionByRange("row_id").sortWithinPartitions("row_id").write.parquet(f"{run}/texts")
         self.runs.append(run)
@@ -312,14 +315,13 @@ class HistoryIndex:
             history = old_keys.join(own, ["kr", "key"], "left_semi").withColumn("fresh", F.lit(False)).select("key", "ts", "row_id", "fresh", "kind")
             rows = batch.unionByName(old_texts)
         found = durable(_known_in(batch, rows, self.frequent, history))
-        self._write(keys.where("kind >= 0"), batch.withColumn("fresh", F.lit(False)), f"run-{len(self.runs):06d}")
+        self._write(keys.where("kind >= 0"), batch.withColumn("fresh", F.lit(False)), "run")
         return found
 
     def compact(self) -> None:
         """Merge all runs into one."""
-        keys, texts, old = self._read("keys"), self._read("texts"), len(self.runs)
-        if old > 1:
-            self._write(keys.drop("kr"), texts, f"merged-{old:06d}")
+        if len(self.runs) > 1:
+            self._write(self._read("keys").drop("kr"), self._read("texts"), "merged")
             self.runs = self.runs[-1:]
 
 

@@ -28,7 +28,7 @@ LOST = "�"
 WRONG = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp1253", "cp1250", "iso8859-15", "cp866", "koi8-r", "cp1254")
 RIGHT = ("utf-8", "cp1252")
 ELIDED = {"l", "d", "dell", "nell", "all", "dall", "sull", "un", "quest", "anch", "sant", "com", "dov", "quell"}
-MARGIN, STEP, DEPTH = 0.95, 0.3, 4
+MARGIN, EACH, STEP, DEPTH = 0.95, 0.3, 0.3, 4
 _RUN = re.compile(r"(?:[^\x00-\x7f]|&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8}\d?);)+")
 _OPEN, _CLOSE = set("“‘«„‹"), set("”’»›")
 _NEAR = 12
@@ -141,7 +141,7 @@ def _char_cost(ch: str, left: str, right: str, before: str) -> float:
 def run_cost(run: str, left: str, right: str, before: str) -> float:
     """Implausibility of a run between the characters left and right, after the ASCII word part `before`."""
     if "&" in run:
-        return 0.5
+        run = html.unescape(run)
     total, word = 0.0, before
     for i, ch in enumerate(run):
         a, b = run[i - 1] if i else left, run[i + 1] if i + 1 < len(run) else right
@@ -217,7 +217,8 @@ def search(text: str) -> tuple[bool, str | None]:
             if new not in seen:
                 seen.add(new)
                 heapq.heappush(heap, (cost(new) + STEP * (depth + 1), depth + 1, new))
-    garbled = lost or first - best[0] >= MARGIN
+    changed = sum(len(html.unescape(a)) for a, b in zip(start, best[1], strict=True) if a != b)
+    garbled = lost or first - best[0] >= max(MARGIN, EACH * changed)
     if not garbled:
         return False, None
     if lost or any(LOST in s for s in best[1]):
