@@ -1,11 +1,14 @@
 """Discovery of notice pages and crawling, as joins with a table of pages.
 
-A page source gives (url, ok, status, final_url, html, error); see boardloom.sources.pages. Searches that try
-one address after another become an ordered list of candidates, one join and the first success.
+A page source is a table (url, ok, status, final_url, html, error) or a function that gives such a table for a table
+of urls; see boardloom.sources.pages. Searches that try one address after another become an ordered list of
+candidates, one join and the first success.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +40,12 @@ LINK_WORDS = (
     "trasparenza", "albo", "gara", "incarichi", "bandi di concorso", "personale", "selezione", "reclutamento",
 )
 BODY_THRESHOLD, MIN_LINK = 0.70, 8
+PageSource = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def lookup(pages: PageSource, urls: DataFrame) -> DataFrame:
+    """The pages of the table, or what the function gives for the distinct `url`s."""
+    return pages if isinstance(pages, DataFrame) else pages(urls.select("url").distinct())
 
 
 def probe_paths(kind: Column) -> Column:
@@ -46,39 +55,40 @@ def probe_paths(kind: Column) -> Column:
     return F.array_distinct(F.concat(F.coalesce(F.element_at(by_kind, kind), usual), usual))
 
 
-def fetched(requests: DataFrame, url: str, pages: DataFrame) -> DataFrame:
+def fetched(requests: DataFrame, url: str, pages: PageSource) -> DataFrame:
     """Requests with the page of `url` or of its first alternative that answers; the error is the original's.
 
     Adds ok, status, final_url, html and error. `requests` must be unique by url; the winner is an aggregate over
-    at most seven candidates a request.
+    at most seven candidates a request. A page function is asked for alternatives only where the original fails.
     """
-    tries = requests.select(url, F.posexplode(F.concat(F.array(F.col(url)), fallback_urls(F.col(url)))).alias("__n", "__try"))
+    every = F.concat(F.array(F.col(url)), fallback_urls(F.col(url)))
+    tries = requests.select(url, F.posexplode(every).alias("__n", "__try"))
+    if not isinstance(pages, DataFrame):
+        first = lookup(pages, requests.select(F.col(url).alias("url"))).cache()
+        failed = requests.join(first.where("ok").select(F.col("url").alias(url)), url, "left_anti")
+        pages = first.unionByName(lookup(pages, failed.select(F.explode(fallback_urls(F.col(url))).alias("url"))))
     seen = tries.join(pages.withColumnRenamed("url", "__page"), F.col("__try") == F.col("__page"), "left")
     ok = F.coalesce("ok", F.lit(False))
+    page = F.struct("status", F.coalesce(F.nullif(F.col("final_url"), F.lit("")), F.col("__try")).alias("final_url"), "html")
     best = seen.groupBy(url).agg(
-        F.min_by(F.struct(F.lit(True).alias("ok"), "status", F.coalesce(F.nullif(F.col("final_url"), F.lit("")), F.col("__try")).alias("final_url"), "html"), F.when(ok, F.col("__n"))).alias("__hit"),
-        F.max(ok).alias("__any"),
-        F.min_by(F.coalesce("error", F.lit("unreachable")), "__n").alias("__error"),
+        F.min_by(page, F.when(ok, F.col("__n"))).alias("__hit"), F.max(ok).alias("__any"), F.min_by(F.coalesce("error", F.lit("unreachable")), "__n").alias("__error")
     )
-    return requests.join(best, url, "left").select(
-        "*",
-        F.coalesce("__any", F.lit(False)).alias("ok"),
-        *[F.when(F.col("__any"), F.col(f"__hit.{c}")).alias(c) for c in ("status", "final_url", "html")],
-        F.when(~F.coalesce("__any", F.lit(False)), F.col("__error")).alias("error"),
-    ).drop("__hit", "__any", "__error")
+    up = F.coalesce("__any", F.lit(False))
+    told = [up.alias("ok"), *[F.when(up, F.col(f"__hit.{c}")).alias(c) for c in ("status", "final_url", "html")], F.when(~up, F.col("__error")).alias("error")]
+    return requests.join(best, url, "left").select(*requests.columns, *told)
 
 
-def discover(sites: DataFrame, pages: DataFrame) -> DataFrame:
+def discover(sites: DataFrame, pages: PageSource) -> DataFrame:
     """(site_url, reachable, resolved_url, platform, trasparenza_url, method, discovery_note) of each site.
 
     Stages: probing of known paths, marks in link addresses, words in link texts; the first success in
-    this order is taken. Sites without an address come out as no_site_in_csv.
+    this order is taken. Sites without an address aren't asked.
     """
     asked = sites.select("site_url").where("site_url != ''").distinct()
     home = fetched(asked, "site_url", pages).withColumn("platform", F.when(F.col("ok"), platform(F.col("html"))).otherwise("unknown"))
     up = home.where("ok").withColumn("base", root_of(F.col("final_url")))
     probes = up.select("site_url", F.posexplode(F.transform(probe_paths(F.col("platform")), lambda p: F.concat(F.col("base"), p))).alias("n", "target"))
-    good = pages.where("ok AND status = 200 AND length(html) > 200").select(F.col("url").alias("target"))
+    good = lookup(pages, probes.select(F.col("target").alias("url"))).where("ok AND status = 200 AND length(html) > 200").select(F.col("url").alias("target"))
     hits = probes.join(good, "target").select("site_url", F.struct(F.lit(1).alias("stage"), "n", F.lit("path_probe").alias("method"), "target").alias("hit"))
     found = up.select("site_url", F.explode(links(F.col("html"), F.col("final_url"))).alias("l"))
     marked = F.lower(F.col("l.href")).rlike("|".join(ADDRESS_MARKS))
@@ -136,7 +146,7 @@ def drill_targets(entries: DataFrame, most: int = 3) -> DataFrame:
     return once.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most).select("code", "url", "place")
 
 
-def crawl(targets: DataFrame, pages: DataFrame, pack: RulePack = EXPERTS, threshold: float = 0.45, most: int = 3) -> tuple[DataFrame, DataFrame]:
+def crawl(targets: DataFrame, pages: PageSource, pack: RulePack = EXPERTS, threshold: float = 0.45, most: int = 3) -> tuple[DataFrame, DataFrame]:
     """(hits, outcomes) of reading each notice page and its likeliest sub-lists.
 
     `targets` has code and trasparenza_url. outcomes: (code, ok, note, pages). A failed sub-list is skipped.

@@ -19,6 +19,7 @@ READ_FIRST = r"(?i)avvis|band|selezion|decret|determin|incaric|reclutam"
 READ_LAST = r"(?i)modul|domand|allegat|\bcv\b|privacy|informativa|liberatoria"
 DOCUMENT = r"(?i)/documenti/|/sdg\d|[?&]download|/download|/allegat|/uploads?/|/file/|attachment"
 BLOCK = r'(?is)class="[^"]*at-item[^"]*".*?(?=class="[^"]*at-item|</main|</body|\z)'
+BOX_LINK = r'(?is)data-bs-target="#modalDetail-(\d+)"[^>]*>(.*?)</a>'
 LEAST_LIKENESS = 0.35
 REVIEW = "is_bando string, scadenza string, titolo string, profilo string"
 
@@ -63,6 +64,24 @@ def blocks(html: Column) -> Column:
     return F.when(F.size(found) >= 2, found).otherwise(F.array().cast("array<string>"))
 
 
+def act_blocks(read: DataFrame) -> DataFrame:
+    """(fingerprint, block): of an index page, the part about the act whose title is wanted; '' where none is.
+
+    `read` has fingerprint, title and html. Entries are listed one after another, or as links that open a
+    box of their own; either needs two entries at least.
+    """
+    listed = read.select("fingerprint", "title", F.posexplode(blocks(F.col("html"))).alias("pos", "block"))
+    first = best_match(listed, "fingerprint", "title", "block", "pos").select("fingerprint", "block")
+    rest = read.where(F.size(blocks(F.col("html"))) == 0)
+    ids, texts = (F.regexp_extract_all("html", F.lit(BOX_LINK), F.lit(i)) for i in (1, 2))
+    boxes = rest.select("fingerprint", "title", "html", F.arrays_zip(ids.alias("box"), texts.alias("text")).alias("b")).where(F.size("b") >= 2)
+    named = boxes.select("fingerprint", "title", "html", F.posexplode("b").alias("pos", "b")).select("fingerprint", "title", "html", "pos", "b.box", "b.text")
+    chosen = best_match(named, "fingerprint", "title", "text", "pos")
+    box = F.call_function("regexp_extract", "html", F.concat(F.lit('(?s)id="modalDetail-'), "box", F.lit(r'".*?(?=id="modalDetail-|</body|\z)')), F.lit(0))
+    found = first.unionByName(chosen.select("fingerprint", box.alias("block")))
+    return read.select("fingerprint").join(found, "fingerprint", "left").select("fingerprint", F.coalesce("block", F.lit("")).alias("block"))
+
+
 def documents_of(read: DataFrame, most: int = 3) -> DataFrame:
     """(fingerprint, doc_url, place): the documents of each page to read first, in stable order of rank."""
     found = read.select("fingerprint", F.explode(links(F.col("html"), F.col("page_url"))).alias("l")).where(is_document(F.col("l.href")))
@@ -86,9 +105,13 @@ def deadlines(read: DataFrame, attachments: DataFrame, most: int = 3) -> DataFra
     return paged.join(first, "fingerprint", "left").select("fingerprint", F.coalesce("scadenza", "late").alias("scadenza"))
 
 
-def document_text(page_text: Column, parts: Column, limit: int) -> Column:
-    """Page text and attachments joined until the limit is passed, then cut to it; noise pages don't count."""
-    start = F.when(is_noise_page(page_text), F.array().cast("array<string>")).otherwise(F.array(page_text))
+def document_text(page_text: Column, parts: Column, limit: int, isolated: Column | None = None) -> Column:
+    """Page text and attachments joined until the limit is passed, then cut to it.
+
+    A login or error page doesn't count, unless the text is the isolated part of an index page.
+    """
+    noise = is_noise_page(page_text)
+    start = F.when(noise if isolated is None else noise & ~isolated, F.array().cast("array<string>")).otherwise(F.array(page_text))
     size = lambda a: F.aggregate(a, F.lit(0), lambda n, x: n + F.length(x))
     joined = F.aggregate(parts, start, lambda acc, x: F.when(size(acc) > limit, acc).otherwise(F.array_append(acc, x)))
     return F.substring(F.regexp_replace(F.array_join(joined, "\n\n"), "\n{3,}", "\n\n"), 1, limit)
