@@ -22,10 +22,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Deal rows over all cores when the input has fewer files than cores.
 
     A parquet file with one row group is read by one task however it is split; CPU-heavy work on it
-    would use one core. Inputs with enough files pass through without a shuffle.
+    would use one core. Inputs with enough files pass through without a shuffle; the names stay in the JVM.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return df if len(df._jdf.inputFiles()) >= cores else df.repartition(cores)
 
 
 def durable(df: DataFrame) -> DataFrame:
