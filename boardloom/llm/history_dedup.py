@@ -19,17 +19,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardloom.llm.text_keys import words
-from boardloom.plans.work import durable, spread, width
+from boardloom.plans.work import durable, join_small, spread, width
 
 #: Words that may differ, words per key by level, and the longest run that is paired before the last level.
 DIFFER, LEVELS, WINDOW = 3, (2, 3, 4), 64
 #: A word is frequent from one in so many rows; their number is bounded by that share.
 FREQUENT = 2_000
-RANGES = 64
+#: Ids or keys up to which the rows looked up are filtered where they lie, without a shuffle.
+SMALL = 500_000
 _MIX, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 SIG = "key bigint, ts bigint, row_id bigint, fresh boolean, kind tinyint"
 COPY, PAIR, SHORT = 0, 1, 2
@@ -196,7 +197,7 @@ def _scan(window: int | None):
 def _merge(signed: DataFrame, window: int | None) -> DataFrame:
     """Merge sorted runs by key range and scan their windows."""
     runs = signed.repartition(width(signed.sparkSession), "key").sortWithinPartitions("key", "ts", "row_id")
-    return runs.mapInArrow(_scan(window), "later bigint, earlier bigint, sure boolean")
+    return runs.mapInArrow(_passing(_scan(window)), "later bigint, earlier bigint, sure boolean")
 
 
 def close_pairs(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -205,53 +206,41 @@ def close_pairs(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     numbered = F.transform(F.array_sort("toks"), lambda t, i: F.struct(t.alias("t"), i.alias("i")))
     # the i-th repeat of a word is a word of its own
     sets = F.transform(numbered, lambda x: F.xxhash64(x["t"], x["i"] - F.array_position(F.array_sort("toks"), x["t"])))
-    texts = durable(rows.select("row_id", "toks").join(wanted, "row_id", "left_semi").select("row_id", sets.alias("set")))
+    texts = durable(join_small(rows.select("row_id", "toks"), durable(wanted), "row_id", "left_semi", SMALL).select("row_id", sets.alias("set")))
     a, b = texts.select(F.col("row_id").alias("later"), F.col("set").alias("a")), texts.select(F.col("row_id").alias("earlier"), F.col("set").alias("b"))
     both = pairs.join(a, "later").join(b, "earlier")
     return both.where(F.greatest(F.size("a"), F.size("b")) - F.size(F.array_intersect("a", "b")) <= DIFFER).select("later", "earlier")
 
 
-def known_rows(rows: DataFrame, frequent: np.ndarray | None = None, history: DataFrame | None = None) -> DataFrame:
-    """(row_id) of the fresh rows that have an earlier copy or near copy; `rows` as records() gives them.
+def known_rows(batch: DataFrame, frequent: np.ndarray | None = None, history: DataFrame | None = None, texts: DataFrame | None = None) -> DataFrame:
+    """(row_id) of the fresh rows that have an earlier copy or near copy; `batch` as records() gives it.
 
-    Rows are compared with one another and, if given, with the persisted runs `history`. Defined cases:
-    equal times go by row_id; titles of up to three words are near copies of each other; an empty table gives
-    no rows; repeated rows are copies.
+    Rows are compared with one another and, if given, with the persisted keys `history`, whose words are in
+    `texts`. Defined cases: equal times go by row_id; titles of up to three words are near copies of each
+    other; an empty table gives no rows; repeated rows are copies.
     """
-    frequent = frequent_words(rows) if frequent is None else frequent
-    signed = rows.mapInArrow(_sign(frequent, LEVELS[0], True), SIG)
-    settled = F.col("kind") == -1
-    signed = durable(signed) if history is not None else signed
-    merged = signed.where(~settled) if history is None else signed.where(~settled).unionByName(history)
-    # rows settled within their task skip the merge; a key of their own id keeps them apart and whole
-    alone = F.when(settled, F.xxhash64("row_id")).otherwise(F.col("key"))
-    found = durable(_settle(signed, merged, alone, history is None))
+    frequent = frequent_words(batch) if frequent is None else frequent
+    rows = batch if texts is None else batch.unionByName(texts)
+    signed = batch.mapInArrow(_sign(frequent, LEVELS[0], True), SIG)
+    runs = signed if history is None else signed.unionByName(history)
+    # rows settled within their task only pass through; a key of their own id spreads them
+    apart = runs.withColumn("key", F.when(F.col("kind") == -1, F.xxhash64("row_id")).otherwise(F.col("key")))
+    found = durable(_merge(apart, WINDOW))
     sure = found.where("sure").select(F.col("later").alias("row_id"))
     candidates = found.where("NOT sure AND earlier IS NOT NULL").select("later", "earlier")
     deep = found.where("earlier IS NULL").select(F.col("later").alias("row_id")).distinct()
     for level in LEVELS[1:]:
         if deep.isEmpty():
             break
-        last = level == LEVELS[-1]
         again = rows.join(deep, "row_id", "left_semi").mapInArrow(_sign(frequent, level, False), SIG)
-        next_found = durable(_merge(again, None if last else WINDOW))
-        candidates = candidates.unionByName(next_found.where("earlier IS NOT NULL").select("later", "earlier"))
-        deep = next_found.where("earlier IS NULL").select(F.col("later").alias("row_id")).distinct()
+        more = durable(_merge(again, None if level == LEVELS[-1] else WINDOW))
+        candidates = candidates.unionByName(more.where("earlier IS NOT NULL").select("later", "earlier"))
+        deep = more.where("earlier IS NULL").select(F.col("later").alias("row_id")).distinct()
     open_pairs = candidates.distinct().join(sure.distinct().withColumnRenamed("row_id", "later"), "later", "left_anti")
     near = close_pairs(durable(open_pairs), rows).select(F.col("later").alias("row_id"))
     return sure.unionByName(near).distinct()
 
 
-def _settle(signed: DataFrame, merged: DataFrame, alone: Column, bulk: bool) -> DataFrame:
-    """One scan that passes rows settled before the shuffle through and merges all other runs."""
-    if bulk:
-        runs = signed.withColumn("key", alone)
-        ready = runs.repartition(width(runs.sparkSession), "key").sortWithinPartitions("key", "ts", "row_id")
-        return ready.mapInArrow(_passing(_scan(WINDOW)), "later bigint, earlier bigint, sure boolean")
-    passed = signed.where("kind = -1").select(F.col("row_id").alias("later"), F.col("row_id").alias("earlier"), F.lit(True).alias("sure"))
-    return passed.unionByName(_merge(merged, WINDOW))
-
-
 def _passing(scan):
     """`scan` over the open rows; settled ones (kind -1) come out as sure."""
 
@@ -280,8 +269,9 @@ class HistoryIndex:
     """Persisted sorted runs of everything accepted, in key ranges, to check batches against.
 
     `folder` lies in storage shared by all executors. The words' order is fixed when the index is made; it
-    needs to be common to all runs only, so it never forces a rebuild. A batch reads just the ranges' rows with its
-    own keys (parquet statistics of the sorted runs skip the rest) and the words of its candidates.
+    needs to be common to all runs only, so it never forces a rebuild. For a batch the runs' slim keys are
+    filtered by its own keys where they lie; only the rows that share one, and the words of the candidates, go
+    on. History is never tokenised, signed or compared with itself again.
     """
 
     def __init__(self, spark: SparkSession, folder: str, frequent: np.ndarray | None = None) -> None:
@@ -307,15 +297,14 @@ class HistoryIndex:
         Rows of a batch must not be earlier than the history they are checked against.
         """
         batch = durable(batch)
-        keys = batch.mapInArrow(_sign(self.frequent, LEVELS[0], True), SIG)
-        old_keys, old_texts = self._read("keys"), self._read("texts")
-        history, rows = None, batch
-        if old_keys is not None:
-            own = keys.select("key", F.shiftrightunsigned("key", 64 - 6).cast("int").alias("kr")).distinct()
-            history = old_keys.join(own, ["kr", "key"], "left_semi").withColumn("fresh", F.lit(False)).select("key", "ts", "row_id", "fresh", "kind")
-            rows = batch.unionByName(old_texts)
-        found = durable(_known_in(batch, rows, self.frequent, history))
-        self._write(keys.where("kind >= 0"), batch.withColumn("fresh", F.lit(False)), "run")
+        keys, texts = self._read("keys"), self._read("texts")
+        signed = durable(batch.mapInArrow(_sign(self.frequent, LEVELS[0], True), SIG))
+        history = None
+        if keys is not None:
+            own = durable(signed.where("kind >= 0").select("key").distinct())
+            history = join_small(keys, own, "key", "left_semi", SMALL).select("key", "ts", "row_id", F.lit(False).alias("fresh"), "kind")
+        found = durable(known_rows(batch, self.frequent, history, texts))
+        self._write(signed.where("kind >= 0"), batch.withColumn("fresh", F.lit(False)), "run")
         return found
 
     def compact(self) -> None:
@@ -325,17 +314,6 @@ class HistoryIndex:
             self.runs = self.runs[-1:]
 
 
-def _known_in(batch: DataFrame, rows: DataFrame, frequent: np.ndarray, history: DataFrame | None) -> DataFrame:
-    """known_rows of a batch against persisted runs; `rows` holds the words of both."""
-    signed = durable(batch.mapInArrow(_sign(frequent, LEVELS[0], True), SIG))
-    merged = signed.where("kind >= 0") if history is None else signed.where("kind >= 0").unionByName(history)
-    sure = signed.where("kind = -1").select("row_id")
-    pairs = durable(_merge(merged, None))
-    sure = sure.unionByName(pairs.where("sure").select(F.col("later").alias("row_id"))).distinct()
-    near = close_pairs(durable(pairs.where("NOT sure").select("later", "earlier").distinct()), rows)
-    return sure.unionByName(near.select(F.col("later").alias("row_id"))).distinct()
-
-
 def known_findings(findings: DataFrame) -> DataFrame:
     """(row_id) of the findings, not from the archive, whose notice was known at their school before.
 
