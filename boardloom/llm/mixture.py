@@ -20,7 +20,7 @@ from boardloom.llm.corpus_tokens import VOCABULARIES, token_counts
 from boardloom.plans.work import durable, join_small, spread
 
 #: Tokens a shard should hold, most shards, blocks per shard.
-SHARD_TOKENS, MAX_SHARDS, BLOCKS = 2_000_000, 4_096, 500
+SHARD_TOKENS, MAX_SHARDS, BLOCKS = 2_000_000, 4_096, 5_000
 SEED = 29
 
 
