@@ -233,7 +233,7 @@ def search(text: str) -> tuple[bool, str | None]:
 def _better(run: str, new: str | None, place: tuple[str, str, str, str]) -> str:
     """The new reading of a run, unless the old one is fine or the new one much less plausible."""
     here = run_cost(run, *place[1:]) if run else 0.0
-    return run if not new or here < 0.25 + 0.2 * len(run) or run_cost(new, *place[1:]) > here + 1.0 else new
+    return run if not new or here < 0.05 + 0.2 * len(run) or run_cost(new, *place[1:]) > here + 1.0 else new
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
