@@ -71,9 +71,10 @@ def _ordered(batch: pa.RecordBatch, rank_of: np.ndarray, ranks: np.ndarray) -> t
     row = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((flat, row))
     flat, row = flat[order], row[order]
-    at = np.searchsorted(rank_of, flat)
-    at[at == len(rank_of)] = 0
-    rank = np.where(rank_of[at] == flat, ranks[at], 0) if len(rank_of) else np.zeros(len(flat), np.int64)
+    rank = np.zeros(len(flat), np.int64)
+    if len(rank_of):
+        at = np.minimum(np.searchsorted(rank_of, flat), len(rank_of) - 1)
+        rank = np.where(rank_of[at] == flat, ranks[at], 0)
     first = np.ones(len(flat), bool)
     first[1:] = (flat[1:] != flat[:-1]) | (row[1:] != row[:-1])
     index = np.arange(len(flat))
@@ -194,6 +195,14 @@ def _scan(window: int | None):
     return run
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word sets in which the repeats of a word are words of their own."""
+    none = np.array([], np.int64)
+    for batch in batches:
+        _, tok, offsets = _ordered(batch, none, none)
+        yield pa.RecordBatch.from_arrays([batch.column("row_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tok, pa.int64()))], names=["row_id", "set"])
+
+
 def _merge(signed: DataFrame, window: int | None) -> DataFrame:
     """Merge sorted runs by key range and scan their windows."""
     runs = signed.repartition(width(signed.sparkSession), "key").sortWithinPartitions("key", "ts", "row_id")
@@ -203,10 +212,8 @@ def _merge(signed: DataFrame, window: int | None) -> DataFrame:
 def close_pairs(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The (later, earlier) pairs whose word multisets differ by at most DIFFER words added, dropped or replaced."""
     wanted = pairs.select(F.explode(F.array("later", "earlier")).alias("row_id")).distinct()
-    numbered = F.transform(F.array_sort("toks"), lambda t, i: F.struct(t.alias("t"), i.alias("i")))
-    # the i-th repeat of a word is a word of its own
-    sets = F.transform(numbered, lambda x: F.xxhash64(x["t"], x["i"] - F.array_position(F.array_sort("toks"), x["t"])))
-    texts = durable(join_small(rows.select("row_id", "toks"), durable(wanted), "row_id", "left_semi", SMALL).select("row_id", sets.alias("set")))
+    found = join_small(rows.select("row_id", "toks"), durable(wanted), "row_id", "left_semi", SMALL)
+    texts = durable(found.mapInArrow(_sets, "row_id bigint, `set` array<bigint>"))
     a, b = texts.select(F.col("row_id").alias("later"), F.col("set").alias("a")), texts.select(F.col("row_id").alias("earlier"), F.col("set").alias("b"))
     both = pairs.join(a, "later").join(b, "earlier")
     return both.where(F.greatest(F.size("a"), F.size("b")) - F.size(F.array_intersect("a", "b")) <= DIFFER).select("later", "earlier")
