@@ -12,10 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boardloom.functions.urls import SPACE
+
 
 def trimmed(c: Column) -> Column:
     """Value without outer white space of any kind (NULL stays NULL)."""
-    return F.regexp_replace(c, r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.btrim(c, F.lit(SPACE))
 
 
 def latest_per_key(df: DataFrame, date: str, key: Column, version: str, compared: dict[str, Column]) -> DataFrame:
