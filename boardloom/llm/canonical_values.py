@@ -40,9 +40,10 @@ def bare(c: Column) -> Column:
 
 def grams(c: Column) -> Column:
     """Distinct character bigrams of the letters and digits of a text; one character is a gram of its own."""
-    s = F.regexp_replace(c, r"[^\p{L}\p{N}]", "")
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1))), lambda i: s.substr(i, F.lit(2)))
-    return F.when(F.length(s) > 0, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    chars = F.split(F.regexp_replace(c, r"[^\p{L}\p{N}]", ""), "")
+    pairs = F.zip_with(chars, F.slice(chars, 2, F.size(chars)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    whole = F.when(F.size(chars) > 1, F.slice(pairs, 1, F.size(chars) - 1)).otherwise(F.filter(chars, lambda x: x != ""))
+    return F.array_distinct(whole)
 
 
 def _prefixes(sets: DataFrame, rarity: DataFrame, key: list[str]) -> DataFrame:

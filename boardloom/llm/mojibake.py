@@ -15,7 +15,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,11 +29,23 @@ WRONG = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp1253",
 RIGHT = ("utf-8", "cp1252")
 ELIDED = {"l", "d", "dell", "nell", "all", "dall", "sull", "un", "quest", "anch", "sant", "com", "dov", "quell"}
 MARGIN, EACH, STEP, DEPTH = 0.95, 0.3, 0.3, 4
+#: Runs up to which results are remembered.
+SHORT = 64
 _RUN = re.compile(r"(?:[^\x00-\x7f]|&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8}\d?);)+")
 _OPEN, _CLOSE = set("“‘«„‹"), set("”’»›")
 _NEAR = 12
 
 
+def _remembered(most: int):
+    """Cache by arguments, for short runs only."""
+
+    def wrap(f):
+        cached = lru_cache(most)(f)
+        return wraps(f)(lambda run, *rest: cached(run, *rest) if len(run) <= SHORT else f(run, *rest))
+
+    return wrap
+
+
 def _bytes(run: str, charset: str) -> bytes | None:
     """The bytes that `charset` reads as `run`; the holes of cp1252 stand for the control of the same number."""
     try:
@@ -52,7 +64,7 @@ def _bytes(run: str, charset: str) -> bytes | None:
     return bytes(out)
 
 
-@lru_cache(200_000)
+@_remembered(200_000)
 def reread(run: str, wrong: str, right: str, after: str) -> str | None:
     """`run` as `right` would have read its bytes.
 
@@ -137,7 +149,7 @@ def _char_cost(ch: str, left: str, right: str, before: str) -> float:
     return 2.5
 
 
-@lru_cache(400_000)
+@_remembered(400_000)
 def run_cost(run: str, left: str, right: str, before: str) -> float:
     """Implausibility of a run between the characters left and right, after the ASCII word part `before`."""
     if "&" in run:
@@ -193,7 +205,7 @@ def search(text: str) -> tuple[bool, str | None]:
     if not places:
         return False, None
     lost = any(LOST in p[0] for p in places)
-    if not lost and sum(_hope(*p) for p in places) < MARGIN:
+    if not lost and sum((_hope if len(p[0]) <= SHORT else _hope.__wrapped__)(*p) for p in places) < MARGIN:
         return False, None
     start = tuple(p[0] for p in places)
 

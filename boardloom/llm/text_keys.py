@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from boardloom.functions.urls import stripped
+
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -15,7 +17,7 @@ def words(c: Column) -> Column:
 
 def url_key(c: Column) -> Column:
     """URL without letter case, outer white space, closing slash of the path and order of parameters."""
-    bare = F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    bare = F.lower(stripped(c))
     path = F.regexp_replace(F.regexp_extract(bare, r"^([^?#]*)", 1), "/$", "")
     query = F.regexp_extract(bare, r"^[^?#]*\?([^#]*)", 1)
     return F.concat_ws("\u0001", path, F.array_join(F.array_sort(F.split(query, "&")), "&"), F.regexp_extract(bare, r"^[^#]*(#.*)$", 1))
