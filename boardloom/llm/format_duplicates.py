@@ -88,7 +88,8 @@ def finding_copies(findings: DataFrame) -> DataFrame:
 
 def finding_groups(findings: DataFrame) -> DataFrame:
     """(kept_row_id, copies): one record per group of copies with its exact number of rows, singles included."""
-    extra = finding_copies(findings).groupBy("kept_row_id").agg(F.count("*").alias("extra"))
-    again = finding_copies(findings).select("row_id")
-    kept = findings.select(F.col("row_id").alias("kept_row_id")).join(again, F.col("kept_row_id") == F.col("row_id"), "left_anti")
-    return kept.join(extra, "kept_row_id", "left").select("kept_row_id", (F.coalesce("extra", F.lit(0)) + 1).alias("copies"))
+    # each row counts for itself, each copy for the row that is kept and not for itself
+    own = findings.select(F.col("row_id").alias("kept_row_id"), F.lit(1).alias("n"), F.lit(False).alias("gone"))
+    moved = F.array(F.struct(F.col("kept_row_id"), F.lit(1).alias("n"), F.lit(False).alias("gone")), F.struct(F.col("row_id").alias("kept_row_id"), F.lit(0).alias("n"), F.lit(True).alias("gone")))
+    every = own.unionByName(finding_copies(findings).select(F.inline(moved)))
+    return every.groupBy("kept_row_id").agg(F.sum("n").alias("copies"), F.bool_or("gone").alias("gone")).where("NOT gone").drop("gone")

@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "p1_found": lambda s, d: canonical_values.canonical_findings(table(s, d, "findings"), table(s, d, "reference_items")).select("row_id", "field", "item_id"),
         "p1_unmatched": lambda s, d: canonical_values.unmatched(table(s, d, "findings"), table(s, d, "reference_items")),
         "p2_found": lambda s, d: format_duplicates.finding_copies(table(s, d, "findings")),
+        "p2_groups": lambda s, d: format_duplicates.finding_groups(table(s, d, "findings")),
         "p3_found": lambda s, d: history_dedup.known_findings(table(s, d, "findings")),
         "p4_found": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key"),
         "p4_restored": lambda s, d: mojibake.garbled_values(table(s, d, "findings"), table(s, d, "schools")).select("tab", "rec_key", "restored"),
@@ -40,4 +41,8 @@ def oracle_sql() -> dict[str, str]:
         k AS (SELECT row_id, school_code, words, regexp_replace(regexp_extract(u, '^([^?#]*)', 1), '/$', '') AS path, list_sort(string_split(regexp_extract(u, '^[^?#]*[?]([^#]*)', 1), '&')) AS params, regexp_extract(u, '#.*$') AS place FROM c),
         g AS (SELECT row_id, min(row_id) OVER (PARTITION BY school_code, words, path, params, place) AS kept_row_id FROM k)
         SELECT kept_row_id, row_id FROM g WHERE row_id <> kept_row_id""",
+        "p2_groups": rf"""
+        WITH c AS (SELECT row_id, school_code, list_sort(regexp_extract_all(lower(upper(coalesce(title, ''))), '[\p{{L}}\p{{N}}]+')) AS words, {bare} AS u FROM findings),
+        k AS (SELECT row_id, school_code, words, regexp_replace(regexp_extract(u, '^([^?#]*)', 1), '/$', '') AS path, list_sort(string_split(regexp_extract(u, '^[^?#]*[?]([^#]*)', 1), '&')) AS params, regexp_extract(u, '#.*$') AS place FROM c)
+        SELECT min(row_id) AS kept_row_id, count(*) AS copies FROM k GROUP BY school_code, words, path, params, place""",
     }

@@ -61,3 +61,21 @@ def test_url_key(spark):
     from boardloom.llm.text_keys import url_key
 
     assert df.select(url_key(F.col("u"))).distinct().count() == 1
+
+
+def test_groups_are_a_query(spark):
+    from pathlib import Path
+
+    import duckdb
+    import pytest
+
+    from boardloom.llm import queries
+
+    data = "/root/testdata/sf0.001"
+    if not Path(data).is_dir():
+        pytest.skip("no data")
+    got = sorted((r.kept_row_id, r.copies) for r in queries.queries()["p2_groups"](spark, data).collect())
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW findings AS SELECT * FROM '{data}/findings.parquet'")
+    assert got == sorted(duck.execute(queries.oracle_sql()["p2_groups"]).fetchall())
+    assert sum(n for _, n in got) == spark.read.parquet(f"{data}/findings.parquet").count() and max(n for _, n in got) > 1
