@@ -249,6 +249,8 @@ def oracle_sql() -> dict[str, str]:
     sql["findings_newest"] = "SELECT row_id, fingerprint, epoch_us(first_seen)::VARCHAR AS first_seen FROM findings"
     for name, marker, most in (("pending_deadlines", "scadenza_checked", "LIMIT 500"), ("pending_reviews", "ai_checked", "")):
         sql[name] = f"SELECT fingerprint, epoch_us(first_seen)::VARCHAR AS first_seen FROM {_one('findings', 'fingerprint', 'row_id', '*')} WHERE {marker} IS NULL ORDER BY findings_first DESC, fingerprint {most}".replace("findings_first", "first_seen")
+    for name, marker, most in (("pending_deadlines_all", "scadenza_checked", ""), ("pending_reviews_run", "ai_checked", "LIMIT 400")):
+        sql[name] = f"SELECT fingerprint, epoch_us(first_seen)::VARCHAR AS first_seen FROM {_one('findings', 'fingerprint', 'row_id', '*')} WHERE {marker} IS NULL ORDER BY first_seen DESC, fingerprint {most}"
     sql["registry_prefer_site"] = f"""
     SELECT school_code, row_id AS chosen, doc_url, pos FROM {_one("findings", "school_code", "(coalesce(doc_url, '') = ''), row_id", "*")} JOIN (SELECT school_code, min(row_id) AS pos FROM findings GROUP BY school_code) USING (school_code)"""
     sql["registry_regions"] = f"SELECT code, name, region, {_strip('province')} AS province, {_strip('city')} AS city, coalesce(site_url, '') AS website FROM (SELECT code, {_strip('name')} AS name, upper(region) AS region, province, city, site_url FROM schools) WHERE region IN ('LOMBARDIA', 'VENETO')"

@@ -156,6 +156,19 @@ def pending_deadlines(s: SparkSession, d: str) -> DataFrame:
     return _micros(state.pending(state.one_per_key(_findings(s, d).select("fingerprint", "first_seen", "scadenza_checked", "row_id"), "fingerprint", F.col("row_id")), "scadenza_checked", 500).select("fingerprint", "first_seen"), "first_seen")
 
 
+def _pending(s: SparkSession, d: str, marker: str, most: int = 0) -> DataFrame:
+    rows = state.one_per_key(_findings(s, d).select("fingerprint", "first_seen", marker, "row_id"), "fingerprint", F.col("row_id"))
+    return _micros(state.pending(rows, marker, most).select("fingerprint", "first_seen"), "first_seen")
+
+
+def pending_deadlines_all(s: SparkSession, d: str) -> DataFrame:
+    return _pending(s, d, "scadenza_checked")  # max_per_run 0
+
+
+def pending_reviews_run(s: SparkSession, d: str) -> DataFrame:
+    return _pending(s, d, "ai_checked", 400)  # max_per_run 400
+
+
 def pending_reviews(s: SparkSession, d: str) -> DataFrame:
     return _micros(state.pending(state.one_per_key(_findings(s, d).select("fingerprint", "first_seen", "ai_checked", "row_id"), "fingerprint", F.col("row_id")), "ai_checked").select("fingerprint", "first_seen"), "first_seen")
 
@@ -364,7 +377,7 @@ def queries() -> dict[str, Query]:
     own = (
         url_clean, url_forms, url_fingerprints, url_fallbacks, url_joined, text_forms, text_documents, page_links, page_texts, link_ranks,
         classify_titles, classify_bodies, category_counts, deadlines, deadline_status, notice_pages, sites_to_visit, schools_sorted,
-        findings_newest, pending_deadlines, pending_reviews, registry_prefer_site, registry_regions, sites_first, pages_lowest_code, siblings,
+        findings_newest, pending_deadlines, pending_deadlines_all, pending_reviews, pending_reviews_run, registry_prefer_site, registry_regions, sites_first, pages_lowest_code, siblings,
         top_scores, best_hits, upsert_findings, insert_only, touch_only, upsert_schools, record_discovery, mark_crawled, set_reviews,
         set_deadlines, reset_reviews, school_origin, next_run, snapshot_meta, snapshot_rows, listing_status, listing_facets,
         listing_filtered, listing_by_deadline, listing_cards, compare_sides, compare_summary, compare_examples, discover_sites,
