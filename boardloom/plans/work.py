@@ -1,9 +1,11 @@
-"""Plan helpers shared by the operators: reading, spreading, durable cuts and size-checked joins."""
+"""Plan helpers shared by the operators: reading, spreading, durable cuts, work folders and size-checked joins."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,19 +30,49 @@ def spread(df: DataFrame) -> DataFrame:
     return df if len(df._jdf.inputFiles()) >= cores else df.repartition(cores)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint (survives the loss of executors).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data: what the session names in spark.checkpoint.dir.
 
-    The folder is the one the session names in spark.checkpoint.dir; only where that is unset, as in
-    tests on one machine, a temporary folder is taken.
+    Only a local master may do without the setting, as in tests on one machine; it gets a temporary folder.
+    Anywhere else executors couldn't read each other's files there, so the call fails.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="boardloom-"))
+    return context.getCheckpointDir()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of its own for the tables of one run, in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder (survives the loss of executors)."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """Hadoop's file system of a path, and the path for it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    system, at = file_system(spark, path)
+    system.delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = file_system(spark, path)
+    return system.exists(at)
+
+
 def join_small(left: DataFrame, right: DataFrame, on: str, how: str = "inner", max_rows: int = 100_000, salts: int = 16) -> DataFrame:
     """Join a large side, which may be skewed on `on`, with a side that is unique on `on`.
 
