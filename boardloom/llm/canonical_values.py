@@ -1,179 +1,177 @@
 """Mapping free-entered values to a canonical list (problem 1).
 
-A prefix-filter set-similarity join over the distinct values. Names become sets of character bigrams, ordered
-by global rarity; only the rare prefix of each set is joined, length and positional filters thin the
-candidates, the Jaccard similarity is then computed exactly. An exact check compares words (typing errors,
-abbreviations, endings, glued or turned words) and decides which candidate, if any, is meant; the best is
-kept and values without one are reported with entry 0.
+A prefix-filter set-similarity join over the distinct values. Names become sets of character bigrams and trigrams,
+ordered by global rarity; only the rare prefix of each set is joined, length and positional filters thin the
+candidates, the Jaccard similarity is then computed exactly and the best entry is kept. As only the best counts, the
+join is made for a high threshold first, whose prefixes are short and rare, and again for lower ones with the values
+that have found nothing; the result is that of the lowest threshold.
+
+Words that stand beside the names of several entries ("n. 1 ...", "... esterno") say nothing of the entry meant; they
+are found in the values themselves and left out. An exact check follows: a word that only the entry kept has must show
+in the value, whole, shortened or with its letters in disorder, else the value means no entry (0).
 """
 
 from __future__ import annotations
 
-import re
-import unicodedata
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardloom.plans.work import durable, join_small, spread, width
+from boardloom.plans.work import durable, join_small, spread
 
-#: Least Jaccard similarity of candidates, and least agreement of words of a match.
-JACCARD, AGREE = 0.3, 0.78
-# Words put around an entry, and little words.
-AROUND = ("n", "nr", "num", "numero", "figura", "figure", "incarico", "incarichi", "ruolo", "profilo", "prof", "professionale", "esterno", "esterna", "esterni", "interno", "interna", "interni", "as", "anno", "ricerca", "selezione", "cercasi", "dott", "sig")
-LITTLE = {"di", "del", "dei", "della", "delle", "dell", "d", "al", "all", "alla", "allo", "e", "ed", "in", "per", "la", "il", "lo", "le", "a", "da", "con", "su"}
+#: Thresholds of the joins, the last of which is the least Jaccard similarity of a match.
+JACCARD = (0.8, 0.55, 0.3)
+#: A word is left out if it stands beside so many entries' names.
+BESIDE = 3
+#: From this similarity on a match needs no check; letters of a word that must show in some stretch of the value as long as it.
+SURE, SHOWN = 0.8, 0.7
 _ACCENTS = "àáâäãåèéêëìíîïòóôöõùúûüçñ"
 _PLAIN = "aaaaaaeeeeiiiiooooouuuucn"
-_SCHOOL_YEAR = r"a\.?\s*s\.?\s*\d{4}\s*[/-]\s*\d{2,4}|\b\d{4}\s*/\s*\d{2,4}"
-_NOISE = r"\b(?:" + "|".join(AROUND) + r")\b\.?|^\s*\d{1,2}\s*[.)°]|\bn\.?\s*\d{1,2}\b"
+_KEY = ["field", "text"]
 
 
-def bare(c: Column) -> Column:
-    """Lower case, no accents, without the words that are put around an entry; the whole where nothing else is left."""
+def name_words(c: Column) -> Column:
+    """Words without case and accents; letters joined by dots are one word."""
     low = F.translate(F.lower(c), _ACCENTS, _PLAIN)
-    less = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, _SCHOOL_YEAR, " "), r"[_]", " "), _NOISE, " ")
-    return F.when(F.length(F.regexp_replace(less, r"[^\p{L}\p{N}]", "")) > 1, less).otherwise(low)
+    found = F.regexp_extract_all(low, F.lit(r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*"), F.lit(0))
+    return F.transform(found, lambda w: F.replace(w, F.lit("."), F.lit("")))
 
 
 def grams(c: Column) -> Column:
-    """Distinct character bigrams of the letters and digits of a text; one character is a gram of its own."""
-    chars = F.split(F.regexp_replace(c, r"[^\p{L}\p{N}]", ""), "")
-    pairs = F.zip_with(chars, F.slice(chars, 2, F.size(chars)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    whole = F.when(F.size(chars) > 1, F.slice(pairs, 1, F.size(chars) - 1)).otherwise(F.filter(chars, lambda x: x != ""))
-    return F.array_distinct(whole)
+    """Distinct character bigrams and trigrams of a text; one character is a gram of its own."""
+    # a look-ahead matches at every place, so the grams overlap
+    pairs, threes = (F.regexp_extract_all(c, F.lit(f"(?s)(?=({'.' * n}))"), F.lit(1)) for n in (2, 3))
+    return F.when(F.length(c) > 1, F.array_distinct(F.concat(pairs, threes))).otherwise(F.filter(F.array(c), lambda g: g != ""))
 
 
-def _prefixes(sets: DataFrame, rarity: DataFrame, key: list[str]) -> DataFrame:
-    """key, n, token, pos: the rare prefix of every set, positions counted from 1 in the global order."""
-    tokens = join_small(sets.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("token")), rarity, "token")
-    order = Window.partitionBy(*key).orderBy("seen", "token")
-    return tokens.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * JACCARD) + 1)
+def framing_words(values: DataFrame, names: DataFrame) -> DataFrame:
+    """(k): field and word of the words that stand beside at least BESIDE entries' names in some value; words of names are none.
 
+    `values` has field and words, `names` field, item_id and words.
+    """
+    longest = names.agg(F.max(F.size("words"))).head()[0] or 0
+    n = F.size("words")
+    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
+    spans = F.flatten(F.transform(starts, lambda a: F.transform(F.sequence(F.lit(1), F.lit(max(longest, 1))), lambda size: F.struct(a.alias("a"), size.alias("size")))))
+    inside = F.filter(spans, lambda x: (x["a"] + x["size"] <= n + 1) & (x["size"] < n))
+    parts = values.where((n > 1)).select("field", "words", F.explode(inside).alias("s"))
+    keyed = parts.withColumn("k", F.concat_ws("\u0001", "field", F.array_join(F.slice("words", F.col("s.a"), F.col("s.size")), " ")))
+    whole = names.select(F.concat_ws("\u0001", "field", F.array_join("words", " ")).alias("k"), "item_id").distinct()
+    rest = F.filter("words", lambda w, i: (i + 1 < F.col("s.a")) | (i + 1 >= F.col("s.a") + F.col("s.size")))
+    beside = join_small(keyed, whole, "k").select("item_id", F.explode(F.transform(rest, lambda w: F.concat_ws("\u0001", F.col("field"), w))).alias("k"))
+    common = beside.groupBy("k").agg(F.count_distinct("item_id").alias("entries")).where(F.col("entries") >= BESIDE).select("k")
+    return common.join(names.select(F.explode(F.transform("words", lambda w: F.concat_ws("\u0001", F.col("field"), w))).alias("k")), "k", "left_anti")
+
+
+def _ordered(sets: DataFrame, rarity: DataFrame, key: list[str]) -> DataFrame:
+    """The key with its grams from rare to frequent."""
+    tokens = join_small(sets.select(*key, F.explode("grams").alias("token")), rarity, "token")
+    return tokens.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("seen", "token"))), lambda x: x["token"]).alias("grams"))
+
+
+def ordered_sets(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their grams in the order of global rarity; `left` has field and text, `right` field, item_id and text."""
+    a, b = durable(left.withColumn("grams", grams(F.col("text")))), right.withColumn("grams", grams(F.col("text")))
+    every = a.select(F.explode("grams").alias("token")).unionAll(b.select(F.explode("grams").alias("token")))
+    rarity = durable(every.groupBy("token").agg(F.count("*").alias("seen")))
+    return durable(_ordered(a, rarity, _KEY)), durable(_ordered(b, rarity, ["field", "item_id", "text"]))
 
-def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(field, value, plain, item_id, name, jaccard): pairs of at least JACCARD, by the prefix-filter join.
 
-    `left` has field, value, plain and grams of the distinct values, `right` field, item_id, name and grams of
-    the entries. Both are read several times and should be durable.
+def candidates(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(field, text, item_id, name, grams, others): pairs that the prefix, length and positional filters for Jaccard >= `least` leave, each once.
+
+    Sides are as ordered_sets() gives them; `grams` and `others` are the whole sets of both.
     """
-    every = left.select(F.explode("grams").alias("token")).unionAll(right.select(F.explode("grams").alias("token")))
-    rarity = durable(every.groupBy("token").agg(F.count("*").alias("seen")))
-    a = _prefixes(left, rarity, ["field", "value"])
-    b = durable(_nested(_prefixes(right, rarity, ["field", "item_id", "name"]).select("field", "item_id", "name", F.col("n").alias("m"), "token", F.col("pos").alias("at"))))
-    pairs = join_small(a.withColumn("k", F.concat_ws("\u0001", "field", "token")).drop("field"), b, "k").select("value", F.col("n"), "pos", F.explode("refs").alias("r"))
-    need = F.ceil((F.col("n") + F.col("r.m")) * (JACCARD / (1 + JACCARD)))
-    near = pairs.where((F.col("r.m") >= F.col("n") * JACCARD) & (F.col("n") >= F.col("r.m") * JACCARD)).where(
-        F.least(F.col("n") - F.col("pos"), F.col("r.m") - F.col("r.at")) + F.least(F.col("pos"), F.col("r.at")) >= need
-    )
-    names = F.collect_set(F.struct(F.col("r.item_id").alias("item_id"), F.col("r.name").alias("name"))).alias("names")
-    pair = near.groupBy(F.col("r.field").alias("field"), "value").agg(names).join(left, ["field", "value"]).select("field", "value", "plain", "grams", F.explode("names").alias("e"))
-    named = join_small(pair.withColumn("k", F.concat_ws("\u0001", "field", "e.item_id", "e.name")), right.select(F.concat_ws("\u0001", "field", "item_id", "name").alias("k"), F.col("grams").alias("others")), "k")
+    n, m, pos, at = F.col("n"), F.col("m"), F.col("pos") + 1, F.col("at") + 1
+
+    def prefix(size: str, grams: str) -> Column:
+        return F.slice(grams, 1, F.col(size) - F.ceil(F.col(size) * least - 1e-9).cast("int") + 1)
+
+    left = a.withColumn("n", F.size("grams")).select("*", F.posexplode(prefix("n", "grams")).alias("pos", "token"))
+    right = b.select("field", "item_id", F.col("text").alias("name"), F.col("grams").alias("others"), F.size("grams").alias("m"))
+    right = right.select("*", F.posexplode(prefix("m", "others")).alias("at", "token"))
+    left, right = (x.withColumn("k", F.concat_ws("\u0001", "field", "token")).drop("token") for x in (left, right))
+    pairs = join_small(left, right.drop("field"), "k").where((m >= n * least - 1e-9) & (n >= m * least - 1e-9))
+    # grams before this one and itself, at most as many as on either side, and those after it
+    most = F.least(pos, at) + F.least(n - pos, m - at)
+    near = pairs.where(most >= F.ceil((n + m) * (least / (1 + least)) - 1e-9))
+    # a pair meets at each gram of both prefixes; it counts at the first
+    first = F.get(F.array_intersect(F.slice("grams", 1, pos), F.slice("others", 1, at)), F.lit(0)) == F.get("grams", F.col("pos"))
+    return near.where(first).select(*_KEY, "item_id", "name", "grams", "others")
+
+
+def similar(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(field, text, item_id, name, jaccard): the pairs of at least `least`; sides as ordered_sets() gives them."""
     both = F.size(F.array_intersect("grams", "others"))
-    scored = named.withColumn("jaccard", both / (F.size("grams") + F.size("others") - both)).where(F.col("jaccard") >= JACCARD)
-    return scored.select("field", "value", "plain", "e.item_id", "e.name", "jaccard")
-
-
-def _nested(b: DataFrame) -> DataFrame:
-    """The entries' prefix tokens, one row per (field, token): a reference list nests to few, short rows."""
-    k = F.concat_ws("\u0001", "field", "token").alias("k")
-    return b.groupBy(k).agg(F.collect_list(F.struct("field", "item_id", "name", "m", "at")).alias("refs"))
-
-
-def _edits(a: str, b: str) -> int:
-    """Edits between two words; turned neighbours count one."""
-    before, row = [], list(range(len(b) + 1))
-    for i, x in enumerate(a):
-        last, row = row, [i + 1]
-        for j, y in enumerate(b):
-            best = min(last[j + 1] + 1, row[j] + 1, last[j] + (x != y))
-            if i and j and x == b[j - 1] and a[i - 1] == y:
-                best = min(best, before[j - 1] + 1)
-            row.append(best)
-        before = last
-    return row[-1]
-
-
-_WORD = re.compile(r"[^\W_]+(?:\.(?=[^\W\d_]))?[^\W_]*\.?")
-_END = re.compile(r"(?:trici|trice|tori|tore|he|[aeio])$")
-
-
-def _plain(text: str) -> str:
-    text = unicodedata.normalize("NFKD", text.lower())
-    return "".join(c for c in text if not unicodedata.combining(c))
-
-
-@lru_cache(100_000)
-def word_likeness(x: str, w: str) -> float:
-    """How surely the typed word x means the word w (0 to 1)."""
-    stem = x.rstrip(".")
-    if stem == w:
-        return 1.0
-    if "." in x:
-        head, _, tail = x.partition(".")
-        if len(head) >= 2 and w.startswith(head) and w.endswith(tail):
-            return 0.95
-    joined = x.replace(".", "")
-    if len(w) >= 4 and len(joined) >= 4 and _END.sub("", joined) == _END.sub("", w):
-        return 0.97
-    n = max(len(w), len(joined))
-    allowed = 0 if n < 4 or w.isdigit() else 1 if n < 6 else 2 if n < 10 else 3
-    d = _edits(joined, w) if abs(len(joined) - len(w)) <= allowed else 9
-    if d <= allowed and d / n <= 0.34:
-        return 1 - d / n
-    return 0.85 if len(joined) >= 5 and w.startswith(joined) else 0.0
-
-
-def agreement(value: str, name: str, weight: dict[str, float]) -> float:
-    """Weighted share of the name's words that the value holds; 1 for names glued together alike."""
-    a, b = re.sub(r"[\W_]+", "", value), re.sub(r"[\W_]+", "", name)
-    n = max(len(a), len(b))
-    if a == b:
-        return 1.0
-    d = _edits(a, b) if n >= 4 and abs(len(a) - len(b)) <= 0.17 * n else n
-    glued = 1 - d / n if d <= max(1, 0.15 * n) and n >= 5 else 0.0
-    typed = _WORD.findall(value.replace("_", " "))
-    pool = [*typed, *[x.rstrip(".") + y for x, y in zip(typed, typed[1:], strict=False)]]
-    got = total = 0.0
-    for w in re.findall(r"[^\W_]+", name):
-        k = 0.1 if w in LITTLE or len(w) < 2 else weight.get(w, 1.0)
-        like = max((word_likeness(x, w) for x in pool), default=0.0)
-        if like < 0.6 and k >= 0.3:
-            return glued * 0.98
-        got, total = got + k * like, total + k
-    return max(glued * 0.98, got / total if total else 0.0)
-
-
-def _check(weight: dict[str, float]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = [_plain(x) for x in batch.column("name").to_pylist()]
-            score = [agreement(v, n, weight) for v, n in zip(batch.column("plain").to_pylist(), names, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("field", "value", "item_id", "jaccard")] + [pa.array(score, pa.float64())], names=["field", "value", "item_id", "jaccard", "agree"])
-
-    return run
+    scored = candidates(a, b, least).withColumn("jaccard", both / (F.size("grams") + F.size("others") - both))
+    return scored.where(F.col("jaccard") >= least - 1e-9).select(*_KEY, "item_id", "name", "jaccard")
+
+
+def best_entries(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(field, text, item_id, name, jaccard): the most similar entry of each text that has one; ties go to the smaller item_id."""
+    found, left = None, a
+    for least in JACCARD:
+        order = F.struct(F.round("jaccard", 9).alias("jaccard"), (-F.col("item_id")).alias("minus"), "name")
+        best = durable(similar(left, b, least).groupBy(*_KEY).agg(F.max(order).alias("best")))
+        found = best if found is None else found.unionByName(best)
+        left = a.join(found.select(*_KEY), _KEY, "left_anti")
+    return found.select(*_KEY, (-F.col("best.minus")).alias("item_id"), "best.name", "best.jaccard")
+
+
+def shows(word: str, typed: list[str]) -> bool:
+    """Whether `word` is in the typed words: shortened to three letters or more, or by its letters in a stretch of its length."""
+    if any(len(x) > 2 and word.startswith(x) for x in typed):
+        return True
+    text, n, want = "".join(typed), len(word), Counter(word)
+    seen = Counter(text[:n])
+    shared = (seen & want).total()
+    for i in range(n, len(text)):
+        if shared >= SHOWN * n:
+            break
+        new, old = text[i], text[i - n]
+        seen[new] += 1
+        shared += seen[new] <= want[new]
+        shared -= seen[old] <= want[old]
+        seen[old] -= 1
+    return shared >= SHOWN * n
+
+
+def _meant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(batch.column("words").to_pylist(), batch.column("own").to_pylist(), batch.column("jaccard").to_pylist(), strict=True)
+        keep = pa.array([j >= SURE or all(shows(w, typed) for w in own or ()) for typed, own, j in rows], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("field", "text", "item_id")], names=["field", "text", "item_id"])
 
 
 def map_values(values: DataFrame, reference: DataFrame) -> DataFrame:
     """(field, value, item_id) of every distinct (field, value); item_id 0 where no entry is meant.
 
     `reference` has item_id, field, label and alias; both names of an entry count. Defined cases: values
-    without letters or digits mean nothing (0); ties go to the greater Jaccard similarity, then to the smaller
-    item_id; an empty list maps everything to 0; NULL values have to be dropped before.
+    without letters or digits mean nothing (0); ties go to the smaller item_id; an empty list maps everything to 0; NULL
+    values have to be dropped before; values of any length are compared whole.
     """
-    names = F.explode(F.filter(F.array("label", "alias"), lambda n: n.isNotNull() & (n != "")))
-    entries = reference.select("field", "item_id", names.alias("name")).distinct()
-    words = entries.select("field", "item_id", F.explode(F.array_distinct(F.split(F.lower("name"), r"[^\p{L}\p{N}]+"))).alias("w"))
-    # a word of many entries says little about the one meant; the list's vocabulary is as bounded as the list
-    weight = {_plain(r["w"]): 1.0 / (1 + 0.35 * (r["n"] - 1)) for r in words.groupBy("w").agg(F.count_distinct("item_id").alias("n")).collect()}
-    left = durable(values.select("field", "value", bare(F.col("value")).alias("plain")).withColumn("grams", grams(F.col("plain"))))
-    right = durable(entries.withColumn("grams", grams(bare(F.col("name")))).where(F.size("grams") > 0))
-    pairs = candidates(left.where(F.size("grams") > 0), right)
-    judged = pairs.repartition(width(values.sparkSession)).mapInArrow(_check(weight), "field string, value string, item_id bigint, jaccard double, agree double").where(F.col("agree") >= AGREE)
-    best = judged.groupBy("field", "value").agg(F.max(F.struct(F.round("agree", 6).alias("agree"), "jaccard", (-F.col("item_id")).alias("minus"))).alias("b"))
-    return left.select("field", "value").join(best, ["field", "value"], "left").select("field", "value", F.coalesce(-F.col("b.minus"), F.lit(0)).cast("bigint").alias("item_id"))
+    listed = F.explode(F.filter(F.array("label", "alias"), lambda n: n.isNotNull() & (n != "")))
+    names = reference.select("field", "item_id", listed.alias("name")).distinct().select("field", "item_id", name_words(F.col("name")).alias("words"))
+    names = durable(names.where(F.size("words") > 0).distinct())
+    typed = durable(values.select("field", "value", name_words(F.col("value")).alias("words")))
+    framing = durable(framing_words(typed.where(F.size("words") > 0), names).distinct())
+    told = typed.select("field", "value", F.posexplode("words").alias("pos", "word")).withColumn("k", F.concat_ws("\u0001", "field", "word"))
+    less = join_small(told, framing, "k", "left_anti").groupBy("field", "value").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]).alias("kept"))
+    # a value of such words alone is compared as it is
+    bare = typed.join(less, ["field", "value"], "left").select("field", "value", F.coalesce("kept", "words").alias("words"))
+    bare = durable(bare.withColumn("text", F.array_join("words", "")))
+    texts = bare.where("text != ''").groupBy(*_KEY).agg(F.min("words").alias("words"))
+    named = names.select("field", "item_id", F.array_join("words", "").alias("text")).distinct()
+    best = best_entries(*ordered_sets(texts.select(*_KEY), named))
+    words = names.select("field", "item_id", F.array_join("words", "").alias("name"), F.explode("words").alias("w"))
+    only = words.groupBy("field", "w").agg(F.count_distinct("item_id").alias("n")).where("n = 1 AND length(w) > 3")
+    own = words.join(only, ["field", "w"]).groupBy(F.concat_ws("\u0001", "field", "item_id", "name").alias("k")).agg(F.collect_set("w").alias("own"))
+    checked = join_small(best.withColumn("k", F.concat_ws("\u0001", "field", "item_id", "name")), own, "k", "left").join(texts, _KEY)
+    meant = checked.select("field", "text", "item_id", "words", "own", "jaccard").mapInArrow(_meant, "field string, text string, item_id bigint")
+    return bare.join(meant, _KEY, "left").select("field", "value", F.coalesce("item_id", F.lit(0)).cast("bigint").alias("item_id"))
 
 
 def typed_values(findings: DataFrame, reference: DataFrame) -> DataFrame:

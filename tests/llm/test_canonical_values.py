@@ -13,6 +13,7 @@ TYPED = {
     ("profilo", "esp. madreling. inglese"): 1, ("profilo", "inglese esperto madrelingua"): 1, ("profilo", "espertomadrelinguainglese"): 1, ("profilo", "Esperta madre lingua inglese (interno/esterno)"): 1,
     ("profilo", "n. 1 esperto madrelinuga ingllese - a.s. 2025/26"): 1, ("profilo", "istruttrice_di_nuoto"): 2, ("profilo", "istruttore di scherma"): 0, ("profilo", "maestro di sci"): 0, ("profilo", "D.P.O."): 4,
     ("profilo", "figura di DPO esterno"): 4, ("profilo", "l0gopedista"): 5, ("profilo", "???"): 0, ("profilo", "-"): 0, ("profilo", "giardiniere"): 0, ("profilo", "dm219"): 0, ("profilo", "x" * 50_000): 0,
+    ("profilo", "figura di logopedista esterno"): 5, ("profilo", "figura di istruttore di nuoto esterno"): 2, ("profilo", "figura di maestro di scacchi esterno"): 3,
     ("category", "D.M. 219"): 101, ("category", "DM n. 219"): 101, ("category", "collaudatore e progettista PON"): 102, ("category", "pnrr"): 102, ("category", "Sicur.zza"): 103, ("category", "assicurazione"): 0,
 }
 
@@ -38,16 +39,25 @@ def test_findings(spark):
     assert {r.item_id for r in empty.collect()} == {0}
 
 
-def test_join_finds_all_similar_pairs(spark):
-    words = ["tutor d'aula", "tutore aule", "aula tutor", "regista teatrale", "registi teatro", "medico", "medici competenti", "x", "xy", "abcabc"]
-    left = spark.createDataFrame([("f", w) for w in words], "field string, value string").withColumn("plain", cv.bare(F.col("value"))).withColumn("grams", cv.grams(F.col("plain")))
-    right = spark.createDataFrame([("f", i, w) for i, w in enumerate(words)], "field string, item_id bigint, name string").withColumn("grams", cv.grams(cv.bare(F.col("name"))))
-    got = {(r.value, r.name) for r in cv.candidates(left, right).collect()}
-    sets = {r.value: set(r.grams) for r in left.collect()}
-    want = {(a, b) for a, x in sets.items() for b, y in sets.items() if x and y and len(x & y) / len(x | y) >= cv.JACCARD}
-    assert got == want
+@pytest.mark.parametrize("least", [0.8, 0.55, 0.3])
+def test_join_finds_all_similar_pairs_once(spark, least):
+    names = ["tutordaula", "tutoreaule", "aulatutor", "registateatrale", "registiteatro", "medico", "medicicompetenti", "x", "xy", "abcabc", "abcabcabc"]
+    left = spark.createDataFrame([("f", w) for w in names], "field string, text string")
+    right = spark.createDataFrame([("f", i, w) for i, w in enumerate(names)], "field string, item_id bigint, text string")
+    a, b = cv.ordered_sets(left, right)
+    got = [(r.text, r.name) for r in cv.similar(a, b, least).collect()]
+    sets = {r.text: set(r.grams) for r in a.collect()}
+    want = {(t, u) for t, x in sets.items() for u, y in sets.items() if len(x & y) / len(x | y) >= least}
+    assert sorted(got) == sorted(want)
 
 
-@pytest.mark.parametrize(("a", "b", "n"), [("codign", "coding", 1), ("abc", "", 3), ("kitten", "sitting", 3), ("", "", 0)])
-def test_edits(a, b, n):
-    assert cv._edits(a, b) == n
+def test_words_beside_many_names_are_left_out(spark):
+    around = [("profilo", f"n. 2 {n} interno") for _, f, n, _ in ENTRIES if f == "profilo"]
+    values = spark.createDataFrame([*around, ("profilo", "DPO interno"), ("profilo", "interno"), ("profilo", "n. 7")], "field string, value string")
+    got = {(r.field, r.value): r.item_id for r in cv.map_values(values, reference(spark)).collect()}
+    assert got == {**{v: i for v, (i, *_) in zip(around, ENTRIES, strict=False)}, ("profilo", "DPO interno"): 4, ("profilo", "interno"): 0, ("profilo", "n. 7"): 0}
+
+
+@pytest.mark.parametrize(("word", "typed", "there"), [("nuoto", ["istruttore", "scherma"], False), ("nuoto", ["nouto"], True), ("inglese", ["ingl"], True), ("aula", ["dalua"], True), ("tedesco", ["madrelinguatedesco"], True), ("tedesco", [], False)])
+def test_shows(word, typed, there):
+    assert cv.shows(word, typed) == there
