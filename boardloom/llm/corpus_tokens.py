@@ -1,7 +1,7 @@
 """Encoding of the whole corpus with a public tokenizer (problem 7).
 
-Texts up to a chunk are encoded as they are. Longer ones are cut into overlapping chunks that are
-pre-tokenised in parallel; neighbours are stitched at the first pre-token boundary of the overlap that both
+Texts are cut into overlapping chunks of CHUNK characters that are pre-tokenised in parallel (a text of one chunk is
+one piece and goes straight to the encoder); neighbours are stitched at the first pre-token boundary of the overlap that both
 found, which no start could have changed, and the pieces between such boundaries are encoded independently.
 Where a chunk and its predecessor never resynchronise (one pre-token longer than the overlap) the two stay
 one piece, so the ids are exactly those of the whole text.
@@ -21,7 +21,8 @@ from boardloom.plans.work import spread
 
 #: Where the tokenizer files lie; a parameter of every function below.
 VOCABULARIES = os.environ.get("BOARDLOOM_TOKENIZERS", "/opt/tokenizers")
-CHUNK, OVERLAP = 262_144, 4_096
+#: Characters of a chunk, and of the next one that it also holds.
+CHUNK, OVERLAP = 2_048, 256
 #: Fixed value: the pre-token pattern of the byte_bpe_50k vocabulary, as its public description gives it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _encoders: dict = {}

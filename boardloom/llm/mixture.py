@@ -2,8 +2,10 @@
 
 The mix is as large as the scarcest source allows with its capped repeats. It is cut into equal-token
 blocks, which Sainte-Laguë apportionment gives to the sources by highest quotients, and within each source to
-the shards in the same way: integer quotas. In each (source, shard) the documents stand in seeded order and
-fill the quota's blocks; a quota above what is there uses everything so many times, then starts again.
+the shards in the same way: integer quotas. In each (source, shard) the documents are laid end to end and cut into
+blocks of that size (a document belongs to the block of its middle); the blocks are drawn in seeded order until the
+quota is full, the last of them as far as needed. A quota above what is there uses everything so many times, then draws
+for the rest.
 """
 
 from __future__ import annotations
@@ -19,8 +21,11 @@ from pyspark.sql import types as T
 from boardloom.llm.corpus_tokens import VOCABULARIES, token_counts
 from boardloom.plans.work import durable, join_small, spread
 
-#: Tokens a shard should hold, most shards, blocks per shard.
-SHARD_TOKENS, MAX_SHARDS, BLOCKS = 2_000_000, 4_096, 5_000
+#: Tokens a shard should hold, and blocks per shard. Beyond MAX_SHARDS shards grow instead: their sums, a row for each source and
+#: shard, are all that reaches the driver, and a shard's few numbers per document are sorted externally.
+SHARD_TOKENS, MAX_SHARDS, BLOCKS = 2_000_000, 65_536, 1_000
+#: A share is met if it is so near to its target.
+TOLERANCE = 0.01
 SEED = 29
 
 
@@ -103,8 +108,11 @@ def mix(documents: DataFrame, targets: DataFrame, name: str = "byte_bpe_50k", fo
     kind = T.StructType([T.StructField("k", T.StringType()), T.StructField("rounds", T.LongType()), T.StructField("rest", T.LongType())])
     quotas = documents.sparkSession.createDataFrame(rows, kind)
     keyed = join_small(dealt.withColumn("k", F.concat_ws("\u0001", "source", "shard")), quotas, "k")
-    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n_tokens").over(order), F.lit(0))
+    shard = Window.partitionBy("source", "shard")
+    line = F.sum("n_tokens").over(shard.orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    keyed = keyed.withColumn("block", F.floor((line - F.col("n_tokens") / 2) / made.block))
+    drawn = shard.orderBy(F.xxhash64(F.lit(seed + 1), "source", "shard", "block"), "block", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n_tokens").over(drawn), F.lit(0))
     # a document belongs to the rest if the greater part of it does
     used = keyed.withColumn("uses", F.col("rounds") + (before * 2 + F.col("n_tokens") <= F.col("rest") * 2).cast("long"))
     return used.where("uses > 0").select("doc_id", "source", "n_tokens", "uses")
@@ -116,3 +124,12 @@ def mix_report(documents: DataFrame, targets: DataFrame) -> DataFrame:
     every = Window.partitionBy(F.lit(1))
     full = targets.where("source IS NOT NULL").select("source", "target_share").join(used, "source", "left").fillna(0, ["documents", "most_uses", "tokens"])
     return full.withColumn("share", F.coalesce(F.try_divide("tokens", F.sum("tokens").over(every)), F.lit(0.0)))
+
+
+def targets_met(documents: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, target_share, max_repeats, met, kept): whether each share is within TOLERANCE, or one document, of its target, and no document used too often."""
+    used = mix(documents, targets).groupBy("source").agg(F.max("uses").alias("most"), F.max("n_tokens").alias("longest"), F.sum(F.col("n_tokens") * F.col("uses")).alias("tokens"))
+    told = targets.where("source IS NOT NULL").join(used, "source", "left").fillna(0, ["most", "longest", "tokens"])
+    total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))
+    met = F.abs(F.col("tokens") - F.col("target_share") * total) <= F.greatest(TOLERANCE * total, F.col("longest") * F.col("max_repeats"))
+    return told.select("source", "target_share", "max_repeats", met.alias("met"), (F.col("most") <= F.col("max_repeats")).alias("kept"))

@@ -5,7 +5,8 @@ and entities; its neighbours come from encoding every run with one character set
 with another, or from unescaping entities. Visited states are kept in a hash set. The cost of a state says
 how implausible its characters are beside their neighbours; the search always expands the cheapest state and
 ends with the cheapest reachable text. A text is garbled if that text is cheaper by a margin, or if a
-replacement character shows that something was lost.
+replacement character shows that something was lost. Where a text has so many differently damaged runs that the states outnumber STATES,
+each run is searched by itself as well: costs add up over the runs, so nothing is given up.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ WRONG = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "cp1253",
 RIGHT = ("utf-8", "cp1252")
 ELIDED = {"l", "d", "dell", "nell", "all", "dall", "sull", "un", "quest", "anch", "sant", "com", "dov", "quell"}
 MARGIN, EACH, STEP, DEPTH = 0.95, 0.3, 0.3, 4
+#: States of all runs together; where there are more, every run is searched by itself as well.
+STATES = 400
 #: Runs up to which results are remembered.
 SHORT = 64
 _RUN = re.compile(r"(?:[^\x00-\x7f]|&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8}\d?);)+")
@@ -189,6 +192,23 @@ def _hope(run: str, left: str, right: str, before: str) -> float:
     return here - best
 
 
+@_remembered(100_000)
+def _alone(run: str, left: str, right: str, before: str) -> tuple[str, int]:
+    """The cheapest reading of one run that any chain of at most DEPTH steps reaches, and its steps."""
+    best, seen = (run_cost(run, left, right, before), 0, run), {run}
+    heap = [best]
+    while heap:
+        at, depth, state = heapq.heappop(heap)
+        best = min(best, (at, depth, state))
+        if depth == DEPTH:
+            continue
+        for new in _steps(state, right):
+            if new and new not in seen:
+                seen.add(new)
+                heapq.heappush(heap, (run_cost(new, left, right, before) + STEP * (depth + 1), depth + 1, new))
+    return best[2], best[1]
+
+
 def _steps(run: str, after: str) -> Iterator[str | None]:
     if "&" in run:
         yield html.unescape(run)
@@ -214,7 +234,7 @@ def search(text: str) -> tuple[bool, str | None]:
 
     first = cost(start)
     heap, seen, best = [(first, 0, start)], {start}, (first, start)
-    while heap and len(seen) < 400:
+    while heap and len(seen) < STATES:
         at, depth, state = heapq.heappop(heap)
         if at < best[0]:
             best = (at, state)
@@ -229,6 +249,10 @@ def search(text: str) -> tuple[bool, str | None]:
             if new not in seen:
                 seen.add(new)
                 heapq.heappush(heap, (cost(new) + STEP * (depth + 1), depth + 1, new))
+    if heap:  # many runs, damaged in different ways: costs add up over runs, so each may be read at its own cheapest
+        each = [_alone(*p) for p in places]
+        state = tuple(s for s, _ in each)
+        best = min(best, (cost(state) + STEP * max(n for _, n in each), state))
     changed = sum(len(html.unescape(a)) for a, b in zip(start, best[1], strict=True) if a != b)
     garbled = lost or first - best[0] >= max(MARGIN, EACH * changed)
     if not garbled:

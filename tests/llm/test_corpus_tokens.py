@@ -36,3 +36,11 @@ def test_round_trip_and_counts(spark):
     counts = ct.token_counts(frame(spark, texts), ["doc_id"], F.col("text"))
     assert {r.doc_id: r.n_tokens for r in counts.collect()} == {i: len(whole(t)) for i, t in enumerate(texts)}
     assert ct.document_ids(frame(spark, [])).count() == 0
+
+
+def test_documents_of_many_chunks(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["scuola", "n. 15/2026", "è", "avviso:", "\n\n", "«bando»", "12345"]) for _ in range(n)) for n in (10, 3_000, 9_000)] + ["x" * 10_000, " " * 5_000]
+    assert max(map(len, texts)) > 10 * ct.CHUNK
+    got = {r.doc_id: list(r.ids) for r in ct.document_ids(frame(spark, texts)).collect()}
+    assert got == {i: whole(t) for i, t in enumerate(texts)}

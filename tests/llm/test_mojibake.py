@@ -47,3 +47,12 @@ def test_operator(spark):
     got = sorted(map(tuple, m.garbled(df, "row_id", "title").select("key", "restored").collect()), key=str)
     assert got == [("1", "già"), ("1", "già"), ("4", None)]
     assert m.garbled(df.limit(0), "row_id", "title").count() == 0
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_runs_searched_alone(text, monkeypatch):
+    """With too many states for all runs together, each is restored by itself, also where the damage differs."""
+    monkeypatch.setattr(m, "STATES", 2)
+    assert m.search(text.encode().decode("mac_roman")) == (True, text)
+    mixed = " ".join(w.encode().decode(("mac_roman", "cp437", "latin-1")[i % 3]) for i, w in enumerate(text.split(" ")))
+    assert m.search(mixed) == (True, text)
