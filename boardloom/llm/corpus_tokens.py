@@ -60,19 +60,31 @@ def _cut(chunk: int, overlap: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            owner, number, parts = [], [], []
+            for n, text in enumerate(batch.column(1).to_pylist()):
                 for i, start in enumerate(range(0, len(text), chunk)):
-                    row = [pa.array([key.as_py()], batch.column(0).type), pa.array([i], pa.int32()), pa.array([text[start : start + chunk + overlap]])]
-                    yield pa.RecordBatch.from_arrays(row, names=["id", "chunk", "text"])
+                    owner.append(n)
+                    number.append(i)
+                    parts.append(text[start : start + chunk + overlap])
+                if len(parts) > 4_096:
+                    yield _rows(batch, owner, number, parts)
+                    owner, number, parts = [], [], []
+            yield _rows(batch, owner, number, parts)
 
     return run
 
 
+def _rows(batch: pa.RecordBatch, owner: list[int], number: list[int], parts: list[str]) -> pa.RecordBatch:
+    ids = batch.column(0).take(pa.array(owner, pa.int64()))
+    return pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(parts, pa.string())], names=["id", "chunk", "text"])
+
+
 def _bounds(chunk: int, overlap: int):
     """Resynchronisation points of each chunk: near its start, and in its overlap relative to the end of its base.
 
     A pre-token boundary counts if it holds wherever pre-tokenising began: no pre-token spans a change of
-    character class, but for white space before a word and an apostrophe before letters.
+    character class, but for white space before a word and an apostrophe before letters. Such a boundary shortly before
+    the overlap is therefore as good a start for the overlap's pre-tokens as the chunk's own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,12 +92,22 @@ def _bounds(chunk: int, overlap: int):
 
         pattern = regex.compile(PATTERN)
         firm = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\p{L}\s])|(?<=\p{N})(?=[^\p{N}\s])|(?<=[^\s\p{L}\p{N}])(?=\p{N})")
+
+        def starts(text: str, first: int, last: int) -> list[int]:
+            """Firm boundaries that are starts of pre-tokens, from `first` on and before `last`."""
+            sure = [m.start() for m in firm.finditer(text, max(0, first - overlap), min(len(text), last + 1))]
+            begin = next((s for s in sure if s <= first), 0)
+            found = set()
+            for m in pattern.finditer(text, begin):
+                if m.start() >= last:
+                    break
+                found.add(m.start())
+            return [s for s in sure if first <= s < last and s in found]
+
         for batch in batches:
-            heads, tails = [], []
-            for text in batch.column("text").to_pylist():
-                starts = {m.start() for m in pattern.finditer(text)} & {m.start() for m in firm.finditer(text)}
-                heads.append(sorted(s for s in starts if 0 < s < overlap))
-                tails.append(sorted(s - chunk for s in starts if s >= chunk))
+            texts = batch.column("text").to_pylist()
+            heads = [starts(t, 1, overlap) for t in texts]
+            tails = [[s - chunk for s in starts(t, chunk, chunk + overlap)] for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))], names=[*batch.schema.names, "heads", "tails"])
 
     return run
