@@ -41,12 +41,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     config = pipeline.Config.read(told.config)
 
     def source(urls: DataFrame) -> DataFrame:
-        return pages.fetch(urls, "url", told.parts)
+        return pages.fetch(urls, "url", told.parts, config.timeout)
+
+    def documents(urls: DataFrame) -> DataFrame:
+        return pages.attachments(urls, "url", told.parts)
 
     if told.what == "discover":
         print(pipeline.run_discovery(spark, config, source, told.limit)["meta"])
     else:
-        print(pipeline.run_crawl(spark, config, source, dt.datetime.now(dt.UTC).date(), told.limit, reset=told.reset, reset_reviews=told.reset_reviews))
+        print(pipeline.run_crawl(spark, config, source, dt.datetime.now(dt.UTC).date(), told.limit, documents, reset=told.reset, reset_reviews=told.reset_reviews))
 
 
 if __name__ == "__main__":

@@ -134,6 +134,11 @@ def same_site(a: Column, b: Column) -> Column:
     return (x == y) & (x != "")
 
 
+def same_registrable(a: Column, b: Column) -> Column:
+    """Whether two URLs have the same host apart from www., user and port."""
+    return host_of(part(a, "netloc")) == host_of(part(b, "netloc"))
+
+
 def fingerprint(url: Column, content: Column) -> Column:
     """Identity of a finding: 32 hex digits of the SHA-256 of normalised URL and content."""
     return F.substring(F.sha2(F.concat(normalize_url(url), F.lit("|"), F.coalesce(content, F.lit(""))), 256), 1, 32)

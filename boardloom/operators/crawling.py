@@ -7,6 +7,8 @@ candidates, one join and the first success.
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,9 +17,11 @@ from pyspark.sql import functions as F
 from boardloom.functions.rules import EXPERTS, RulePack
 from boardloom.functions.scoring import classify
 from boardloom.functions.text import SEARCH_PAGE, is_listing, links, listing_rank, platform, snippet, visible_text
-from boardloom.functions.urls import fallback_urls, page_key, part, root_of, same_site
+from boardloom.functions.urls import fallback_urls, page_key, part, root_of, same_registrable, same_site
+from boardloom.plans.work import durable
 
-# Paths to try by platform, marks of a notice page in an address, and words in a link's text.
+# Paths to try by platform, marks of a notice page in an address, words in a link's text, and signs of
+# hosts without a name or with too much load.
 PATHS = {
     "agid_wordpress": ("/amministrazione-trasparente/", "/albo-online/", "/amministrazione-trasparente/bandi-di-gara-e-contratti/", "/albo-pretorio/"),
     "madisoft": ("/amministrazione-trasparente/", "/albo-online/"),
@@ -39,7 +43,12 @@ LINK_WORDS = (
     "albo pretorio", "albo online", "amministrazione trasparente", "bandi di gara", "bandi e concorsi", "avvisi", "bandi", "concorsi",
     "trasparenza", "albo", "gara", "incarichi", "bandi di concorso", "personale", "selezione", "reclutamento",
 )
+NO_NAME = ("name or service", "name resolution", "no address", "nodename")
+THROTTLED = (429, 503, 509, 520, 521)
 BODY_THRESHOLD, MIN_LINK = 0.70, 8
+#: Paths that a platform may have to be tried with, at most.
+MOST_PATHS = max(len({*own, *USUAL_PATHS}) for own in PATHS.values())
+PAGE_COLUMNS = ("url", "ok", "status", "final_url", "html", "error")
 PageSource = DataFrame | Callable[[DataFrame], DataFrame]
 
 
@@ -58,24 +67,73 @@ def probe_paths(kind: Column) -> Column:
 def fetched(requests: DataFrame, url: str, pages: PageSource) -> DataFrame:
     """Requests with the page of `url` or of its first alternative that answers; the error is the original's.
 
-    Adds ok, status, final_url, html and error. `requests` must be unique by url; the winner is an aggregate over
-    at most seven candidates a request. A page function is asked for alternatives only where the original fails.
+    Adds ok, status, final_url, html and error. `requests` must be unique by url. The winner is chosen from flags; its HTML
+    is joined once. A page function is asked for alternatives only where the original fails, not on a
+    host whose name doesn't resolve, and in a hurry where the original was slow or throttled.
     """
-    every = F.concat(F.array(F.col(url)), fallback_urls(F.col(url)))
-    tries = requests.select(url, F.posexplode(every).alias("__n", "__try"))
+    tries = requests.select(url, F.posexplode(F.concat(F.array(F.col(url)), fallback_urls(F.col(url)))).alias("__n", "__try"))
     if not isinstance(pages, DataFrame):
-        first = lookup(pages, requests.select(F.col(url).alias("url"))).cache()
-        failed = requests.join(first.where("ok").select(F.col("url").alias(url)), url, "left_anti")
-        pages = first.unionByName(lookup(pages, failed.select(F.explode(fallback_urls(F.col(url))).alias("url"))))
-    seen = tries.join(pages.withColumnRenamed("url", "__page"), F.col("__try") == F.col("__page"), "left")
-    ok = F.coalesce("ok", F.lit(False))
-    page = F.struct("status", F.coalesce(F.nullif(F.col("final_url"), F.lit("")), F.col("__try")).alias("final_url"), "html")
-    best = seen.groupBy(url).agg(
-        F.min_by(page, F.when(ok, F.col("__n"))).alias("__hit"), F.max(ok).alias("__any"), F.min_by(F.coalesce("error", F.lit("unreachable")), "__n").alias("__error")
+        first = durable(lookup(pages, requests.select(F.col(url).alias("url"))))
+        bad = first.where("NOT ok").select("url", *[c.alias(n) for n, c in (("dns", no_name(F.col("error"))), ("hurry", slow_or_throttled(F.col("status"), F.col("error"))))])
+        other = bad.select("url", "dns", "hurry", F.explode(fallback_urls(F.col("url"))).alias("other"))
+        other = other.where(~F.col("dns") | ~same_registrable(F.col("url"), F.col("other")))
+        wanted = other.groupBy(F.col("other").alias("url")).agg(F.bool_and("hurry").alias("hurry"))
+        more = durable(pages(wanted.join(first.select("url"), "url", "left_anti")))
+        pages = first.select(*PAGE_COLUMNS).unionByName(more.select(*PAGE_COLUMNS))
+        answered = pages.select("url", "ok")
+        # an alternative that wasn't asked for this request doesn't count, even if another request had it
+        tries = tries.join(other.select(F.col("url").alias(url), F.col("other").alias("__try")).withColumn("__asked", F.lit(True)), [url, "__try"], "left").where("__n = 0 OR __asked").drop("__asked")
+    else:
+        answered = pages.select("url", "ok")
+    seen = tries.join(answered.where("ok").select(F.col("url").alias("__page"), F.lit(True).alias("__up")), F.col("__try") == F.col("__page"), "left")
+    best = seen.groupBy(url).agg(F.min_by("__try", F.when(F.col("__up"), F.col("__n"))).alias("__won"))
+    won = requests.join(best, url, "left")
+    told = pages.select(F.col("url").alias("__won"), F.lit(True).alias("__hit"), F.col("status").alias("__status"), F.col("final_url").alias("__final"), F.col("html").alias("__html"))
+    errors = pages.where("NOT coalesce(ok, false)").select(F.col("url").alias(url), F.col("error").alias("__error"))
+    full = won.join(told, "__won", "left").join(errors, url, "left")
+    up = F.coalesce("__hit", F.lit(False))
+    final = F.when(up, F.coalesce(F.nullif(F.col("__final"), F.lit("")), F.col("__won")))
+    return full.select(
+        *requests.columns, up.alias("ok"), F.col("__status").alias("status"), final.alias("final_url"), F.col("__html").alias("html"), F.when(~up, F.coalesce("__error", F.lit("unreachable"))).alias("error")
     )
-    up = F.coalesce("__any", F.lit(False))
-    told = [up.alias("ok"), *[F.when(up, F.col(f"__hit.{c}")).alias(c) for c in ("status", "final_url", "html")], F.when(~up, F.col("__error")).alias("error")]
-    return requests.join(best, url, "left").select(*requests.columns, *told)
+
+
+def no_name(error: Column) -> Column:
+    """Whether an error says that the host's name doesn't resolve."""
+    return F.coalesce(F.lower(error), F.lit("")).rlike("|".join(NO_NAME))
+
+
+def slow_or_throttled(status: Column, error: Column) -> Column:
+    """Whether a request failed for lack of time or was turned away for the load."""
+    return F.coalesce(F.lower(error), F.lit("")).contains("timed out") | F.coalesce(status.isin(*THROTTLED), F.lit(False))
+
+
+def first_probes(probes: DataFrame, pages: PageSource) -> DataFrame:
+    """(site_url, n, target) of the probes that lead to a page; of a page function, each site's probes are asked one after another until one does."""
+    good = "ok AND status = 200 AND length(html) > 200"
+    if isinstance(pages, DataFrame):
+        return probes.join(pages.where(good).select(F.col("url").alias("target")), "target").select("site_url", "n", "target")
+    probes, found = durable(probes), None
+    for n in range(MOST_PATHS):
+        now = probes.where(F.col("n") == n)
+        if found is not None:
+            now = now.join(found.select("site_url"), "site_url", "left_anti")
+        here = lookup(pages, now.select(F.col("target").alias("url"))).where(good).select(F.col("url").alias("target"))
+        more = now.join(here, "target").select("site_url", "n", "target")
+        found = durable(more if found is None else found.unionByName(more))
+    return found
+
+
+def discover_again(sites: DataFrame, pages: PageSource, attempts: int = 4, pause: float = 2.0) -> DataFrame:
+    """As discover(); sites of a page function that don't answer are tried again, after growing pauses, up to so many attempts."""
+    found = durable(discover(sites, pages))
+    for n in range(1, attempts if not isinstance(pages, DataFrame) else 1):
+        down = found.where("NOT reachable")
+        if down.isEmpty():
+            break
+        time.sleep(pause * n + random.random() * (pause > 0))
+        found = durable(found.where("reachable").unionByName(discover(down.select("site_url"), pages)))
+    return found
 
 
 def discover(sites: DataFrame, pages: PageSource) -> DataFrame:
@@ -88,8 +146,7 @@ def discover(sites: DataFrame, pages: PageSource) -> DataFrame:
     home = fetched(asked, "site_url", pages).withColumn("platform", F.when(F.col("ok"), platform(F.col("html"))).otherwise("unknown"))
     up = home.where("ok").withColumn("base", root_of(F.col("final_url")))
     probes = up.select("site_url", F.posexplode(F.transform(probe_paths(F.col("platform")), lambda p: F.concat(F.col("base"), p))).alias("n", "target"))
-    good = lookup(pages, probes.select(F.col("target").alias("url"))).where("ok AND status = 200 AND length(html) > 200").select(F.col("url").alias("target"))
-    hits = probes.join(good, "target").select("site_url", F.struct(F.lit(1).alias("stage"), "n", F.lit("path_probe").alias("method"), "target").alias("hit"))
+    hits = first_probes(probes, pages).select("site_url", F.struct(F.lit(1).alias("stage"), "n", F.lit("path_probe").alias("method"), "target").alias("hit"))
     found = up.select("site_url", F.explode(links(F.col("html"), F.col("final_url"))).alias("l"))
     marked = F.lower(F.col("l.href")).rlike("|".join(ADDRESS_MARKS))
     worded = F.lower(F.col("l.text")).rlike("|".join(LINK_WORDS))

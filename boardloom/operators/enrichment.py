@@ -14,7 +14,8 @@ from boardloom.functions.dates import deadline
 from boardloom.functions.text import is_noise_page, links, visible_text, word_key
 from boardloom.functions.urls import is_pdf
 
-# Words of documents to read first and last, and addresses of documents without .pdf.
+# Words of documents to read first and last, addresses of documents without .pdf, and the marks of an act's block and
+# of the link that opens it.
 READ_FIRST = r"(?i)avvis|band|selezion|decret|determin|incaric|reclutam"
 READ_LAST = r"(?i)modul|domand|allegat|\bcv\b|privacy|informativa|liberatoria"
 DOCUMENT = r"(?i)/documenti/|/sdg\d|[?&]download|/download|/allegat|/uploads?/|/file/|attachment"
@@ -89,6 +90,14 @@ def documents_of(read: DataFrame, most: int = 3) -> DataFrame:
     return found.select("fingerprint", F.col("l.href").alias("doc_url"), F.row_number().over(order).alias("place")).where(F.col("place") <= most)
 
 
+def open_documents(read: DataFrame, most: int = 3) -> DataFrame:
+    """(fingerprint, url, place): the first PDFs linked from pages without a deadline in their text."""
+    open_pages = read.where(deadline(visible_text(F.col("html"))).isNull())
+    found = open_pages.select("fingerprint", F.explode(links(F.col("html"), F.col("page_url"))).alias("l")).where(is_pdf(F.col("l.href")))
+    order = Window.partitionBy("fingerprint").orderBy("l.pos")
+    return found.select("fingerprint", F.col("l.href").alias("url"), F.row_number().over(order).alias("place")).where(F.col("place") <= most)
+
+
 def deadlines(read: DataFrame, attachments: DataFrame, most: int = 3) -> DataFrame:
     """(fingerprint, scadenza): from the page's text, else from the first PDF that tells one.
 
@@ -96,10 +105,7 @@ def deadlines(read: DataFrame, attachments: DataFrame, most: int = 3) -> DataFra
     their text are joined with attachments.
     """
     paged = read.withColumn("scadenza", deadline(visible_text(F.col("html"))))
-    open_pages = paged.where("scadenza IS NULL")
-    found = open_pages.select("fingerprint", F.explode(links(F.col("html"), F.col("page_url"))).alias("l")).where(is_pdf(F.col("l.href")))
-    order = Window.partitionBy("fingerprint").orderBy("l.pos")
-    pdfs = found.select("fingerprint", F.col("l.href").alias("url"), F.row_number().over(order).alias("place")).where(F.col("place") <= most)
+    pdfs = open_documents(read, most)
     told = pdfs.join(attachments, "url").withColumn("scadenza", deadline(F.col("text"))).where("scadenza IS NOT NULL")
     first = told.groupBy("fingerprint").agg(F.min_by("scadenza", "place").alias("late"))
     return paged.join(first, "fingerprint", "left").select("fingerprint", F.coalesce("scadenza", "late").alias("scadenza"))

@@ -89,6 +89,12 @@ def filtered(listing: DataFrame, stato: str = "", category: str = "", region: st
     return rows.where(hay.contains(words.lower().strip())) if words.strip() else rows
 
 
+def result_count(listing: DataFrame) -> DataFrame:
+    """(n, label): how many rows the filters leave, in words."""
+    n = F.count("*")
+    return listing.agg(n.alias("n"), F.when(n == 1, "1 risultato").otherwise(F.concat(n.cast("string"), F.lit(" risultati"))).alias("label"))
+
+
 def ordered(listing: DataFrame, by: str = "recent") -> DataFrame:
     """By score, by deadline (none last) or by first sight; ties by fingerprint."""
     order = {"conf": F.coalesce("score", F.lit(0.0)).desc(), "scad": F.col("scadenza").asc_nulls_last(), "recent": F.col("first_seen").desc_nulls_last()}[by]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import urllib.request
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -86,6 +87,10 @@ def ranked(rows: DataFrame, by: list[str], order: list[Column], most: int) -> Da
     return rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most)
 
 
-def cached_file(path: str) -> bool:
-    """Whether a registry file is there and not empty."""
-    return os.path.exists(path) and os.path.getsize(path) > 0
+def cached_file(path: str, url: str | None = None) -> str:
+    """The path of a registry file; if it isn't there, or empty, it is fetched from `url` first and appears when it is complete."""
+    if url and not (os.path.exists(path) and os.path.getsize(path) > 0):
+        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+        urllib.request.urlretrieve(url, f"{path}.part")
+        os.replace(f"{path}.part", path)
+    return path

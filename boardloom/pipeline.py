@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
@@ -19,9 +20,18 @@ from boardloom.plans.work import durable
 from boardloom.sources import snapshots
 
 
+# Names of the settings in files, and of those that nothing here needs.
+KEYS = {
+    "regioni": "regions", "anagrafe.csv_url": "registry_url", "anagrafe.csv_cache": "registry", "db": "state", "snapshot_dir": "snapshots",
+    "discovery_report": "report", "schools_map_csv": "map_csv", "crawl.timeout": "timeout", "crawl.workers": "parts",
+    "crawl.classifier_threshold": "threshold", "crawl.max_subpages": "subpages", "scadenza.max_per_run": "pending", "ai.max_per_run": "pending_reviews",
+}
+UNUSED = ("crawl.discovery_pause", "scadenza.workers", "scadenza.timeout", "ai.enabled", "ai.model", "ai.workers", "ai.timeout", "ai.max_doc_chars")
+
+
 @dataclass
 class Config:
-    """Settings of the runs; unknown keys of a file are ignored."""
+    """Settings of the runs. A file gives them by these names or in the sections of KEYS; other keys, but for notes, are warned of."""
 
     regions: list[str] = field(default_factory=list)
     registry: str = "registry.csv"
@@ -32,11 +42,23 @@ class Config:
     threshold: float = 0.45
     subpages: int = 3
     pending: int = 0
+    pending_reviews: int = 0
+    registry_url: str = ""
+    timeout: float = 10
+    pause: float = 2.0
+    parts: int = 48
 
     @classmethod
     def read(cls, path: str) -> Config:
-        told = json.loads(Path(path).read_text(encoding="utf-8"))
-        return cls(**{k: v for k, v in told.items() if k in cls.__dataclass_fields__})
+        told, found = json.loads(Path(path).read_text(encoding="utf-8")), {}
+        flat = [(f"{k}.{x}", y) for k, v in told.items() if isinstance(v, dict) for x, y in v.items()] + [(k, v) for k, v in told.items() if not isinstance(v, dict)]
+        for key, value in flat:
+            name = KEYS.get(key, key)
+            if name in cls.__dataclass_fields__:
+                found[name] = value
+            elif not key.startswith("_") and key not in UNUSED:
+                warnings.warn(f"{path}: unknown setting {key}", stacklevel=2)
+        return cls(**found)
 
 
 class Tables:
@@ -55,12 +77,12 @@ class Tables:
 def run_discovery(spark: SparkSession, config: Config, pages: crawling.PageSource, limit: int = 0) -> dict:
     """Registry into state, one search per site, its outcome given to all schools of the site, report files."""
     tables = Tables(spark, config.state)
-    rows = durable(registry.read_registry(spark, config.registry, config.regions))
+    rows = durable(registry.read_registry(spark, registry.cached_file(config.registry, config.registry_url), config.regions))
     rows = rows.orderBy("pos").limit(limit) if limit else rows
     delivered = rows.withColumnRenamed("website", "site_url")
     schools = durable(state.upsert_schools(tables.schools.read(), delivered, F.col("name")))
     firsts = registry.first_per_key(delivered.select("code", "site_url", "pos"), F.when(F.col("site_url") != "", site_key(F.col("site_url"))), F.col("pos"), "site")
-    found = durable(crawling.discover(firsts.select("site_url"), pages))
+    found = crawling.discover_again(firsts.select("site_url"), pages, pause=config.pause)
     per_site = firsts.select("site", "site_url").join(found, "site_url").drop("site_url", "method")
     results = registry.propagate(delivered.where("site_url != ''").select("code", "site_url"), site_key(F.col("site_url")), per_site, "site").drop("site", "site_url")
     none = delivered.where("site_url = ''").select("code", F.lit(False).alias("reachable"), F.lit("").alias("resolved_url"), F.lit("unknown").alias("platform"), F.lit("").alias("trasparenza_url"), F.lit("no_site_in_csv").alias("discovery_note"))
@@ -77,7 +99,7 @@ def run_crawl(
     pages: crawling.PageSource,
     day: dt.date,
     limit: int = 0,
-    attachments: DataFrame | None = None,
+    attachments: crawling.PageSource | None = None,
     reviewer: Callable[[str, str, str], str | None] | None = None,
     reset: bool = False,
     reset_reviews: bool = False,
@@ -102,35 +124,47 @@ def run_crawl(
     tables.schools.write(state.mark_crawled(schools, outcomes.where("ok"), F.current_timestamp()))
     total = hits.count()
     tables.log("crawl", outcomes.count(), total)
-    enrich(spark, config, tables, pages, attachments, reviewer)
-    counters = {"scuole_crawlate": outcomes.count(), "hit_totali": total, "nuovi_oggi": told["new"], "nuove_pubblicazioni": told["new"] - told["old"]}
+    checked = enrich(spark, config, tables, pages, attachments, reviewer)
+    counters = {**checked, "scuole_crawlate": outcomes.count(), "hit_totali": total, "nuovi_oggi": told["new"], "nuove_pubblicazioni": told["new"] - told["old"]}
     return snapshots.write_snapshot(tables.findings.read(), config.snapshots, day, counters)
 
 
-def enrich(spark: SparkSession, config: Config, tables: Tables, pages: crawling.PageSource, attachments: DataFrame | None, reviewer: Callable | None) -> None:
-    """Deadlines and, with a reviewer, verdicts of the findings that were not checked yet."""
-    attachments = spark.createDataFrame([], "url string, text string") if attachments is None else attachments
+def enrich(spark: SparkSession, config: Config, tables: Tables, pages: crawling.PageSource, attachments: crawling.PageSource | None, reviewer: Callable | None) -> dict:
+    """Deadlines and, with a reviewer, verdicts of the findings that were not checked yet; how many were checked and found.
+
+    `attachments` is a table (url, text) or a function that gives one for a table of urls.
+    """
+    empty = spark.createDataFrame([], "url string, text string")
+    texts_of = lambda urls: empty if attachments is None else crawling.lookup(attachments, urls)
     findings = tables.findings.read()
     todo = state.pending(findings, "scadenza_checked", config.pending).select("fingerprint", "url")
     asked = crawling.fetched(todo.where(~is_pdf(F.col("url"))).select("url").distinct(), "url", pages)
-    read = todo.join(asked, "url").where("ok").select("fingerprint", F.col("final_url").alias("page_url"), "html")
-    direct = todo.where(is_pdf(F.col("url"))).join(attachments, "url").select("fingerprint", deadline(F.col("text")).alias("scadenza"))
-    told = enrichment.deadlines(read, attachments).unionByName(direct)
-    checked = todo.select("fingerprint").join(told, "fingerprint", "left")
+    read = durable(todo.join(asked, "url").where("ok").select("fingerprint", F.col("final_url").alias("page_url"), "html"))
+    pdfs = todo.where(is_pdf(F.col("url"))).select("url").unionByName(enrichment.open_documents(read).select("url"))
+    known = durable(texts_of(pdfs))
+    direct = todo.where(is_pdf(F.col("url"))).join(known, "url").select("fingerprint", deadline(F.col("text")).alias("scadenza"))
+    told = enrichment.deadlines(read, known).unionByName(direct)
+    checked = durable(todo.select("fingerprint").join(told, "fingerprint", "left"))
     tables.findings.write(state.set_deadlines(findings, checked, F.current_timestamp()))
+    counts = checked.agg(F.count("*").alias("scadenze_cercate"), F.count("scadenza").alias("scadenze_trovate")).head().asDict()
     if reviewer is None:
-        return
+        return counts
     findings = tables.findings.read()
-    todo = state.pending(findings, "ai_checked", config.pending).select("fingerprint", "url", "title", "category")
-    asked = crawling.fetched(todo.select("url").distinct(), "url", pages).where("ok")
+    todo = state.pending(findings, "ai_checked", config.pending_reviews).select("fingerprint", "url", "title", "category")
+    asked = crawling.fetched(todo.where(~enrichment.is_document(F.col("url"))).select("url").distinct(), "url", pages).where("ok")
     page = todo.join(asked, "url", "left")
     block = enrichment.act_blocks(page.select("fingerprint", "title", F.coalesce("html", F.lit("")).alias("html")))
     scoped = page.join(block, "fingerprint").withColumn("scope", F.when(F.col("block") != "", F.col("block")).otherwise(F.coalesce("html", F.lit(""))))
     documents = enrichment.documents_of(scoped.select("fingerprint", F.coalesce("final_url", F.lit("")).alias("page_url"), F.col("scope").alias("html")))
-    texts = documents.join(attachments, F.col("doc_url") == F.col("url")).groupBy("fingerprint").agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("parts"))
+    # a finding may be a document itself
+    itself = todo.where(enrichment.is_document(F.col("url"))).select("fingerprint", F.col("url").alias("doc_url"), F.lit(1).alias("place"))
+    documents = durable(documents.select("fingerprint", "doc_url", "place").unionByName(itself))
+    texts = documents.join(texts_of(documents.select(F.col("doc_url").alias("url"))), F.col("doc_url") == F.col("url")).groupBy("fingerprint").agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("parts"))
     firsts = documents.where("place = 1").select("fingerprint", "doc_url")
     whole = scoped.join(texts, "fingerprint", "left").withColumn("parts", F.coalesce(F.transform("parts", lambda p: p["text"]), F.array().cast("array<string>")))
     ready = whole.select("fingerprint", "title", "category", enrichment.document_text(visible_text(F.col("scope")), F.col("parts"), 12_000, F.col("block") != "").alias("text"))
     verdicts = durable(enrichment.reviewed(ready, reviewer))
     linked = verdicts.join(scoped.where("block != ''").join(firsts, "fingerprint").select("fingerprint", "doc_url"), "fingerprint", "left").withColumn("doc_url", F.coalesce("doc_url", F.lit("")))
     tables.findings.write(state.set_reviews(findings, linked, F.current_timestamp()))
+    outcomes = linked.agg(F.count("*").alias("revisioni"), F.count_if("ai_bando").alias("bandi"), F.count_if(~F.col("ai_bando")).alias("non_bandi"), F.count_if(F.col("ai_bando").isNull()).alias("illeggibili"))
+    return {**counts, **outcomes.head().asDict()}

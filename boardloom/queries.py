@@ -350,9 +350,14 @@ def discover_sites(s: SparkSession, d: str) -> DataFrame:
 
 
 def crawl_notices(s: SparkSession, d: str) -> DataFrame:
-    rows = _pages(s, d).withColumn("page", F.concat(F.lit("https://pages.example/"), F.col("row_id").cast("string")))
-    pages = rows.select(F.col("page").alias("url"), F.lit(True).alias("ok"), F.lit(200).alias("status"), F.col("page").alias("final_url"), "html", F.lit(None).cast("string").alias("error"))
-    hits, _ = crawling.crawl(rows.select(F.col("row_id").cast("string").alias("code"), F.col("page").alias("trasparenza_url")), pages)
+    """A notice page per finding and the list that it links to, with a notice of its own."""
+    site = F.lit("https://pages.example/")
+    key = F.col("row_id").cast("string")
+    rows = _pages(s, d).withColumn("page", F.concat(site, key))
+    listed = rows.select(F.concat(site, F.lit("albo/"), key).alias("page"), F.concat(F.lit("<html><body><a href='/n/"), key, F.lit("'>"), F.col("title"), F.lit("</a></body></html>")).alias("html"))
+    every = rows.select("page", "html").unionByName(listed)
+    pages = every.select(F.col("page").alias("url"), F.lit(True).alias("ok"), F.lit(200).alias("status"), F.col("page").alias("final_url"), "html", F.lit(None).cast("string").alias("error"))
+    hits, _ = crawling.crawl(rows.select(key.alias("code"), F.col("page").alias("trasparenza_url")), pages)
     return hits
 
 

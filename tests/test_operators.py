@@ -1,8 +1,12 @@
 """The relational operators on small cases."""
 
 import datetime as dt
+import io
 import json
 import random
+import ssl
+import urllib.error
+import zipfile
 
 from pyspark.sql import functions as F
 
@@ -217,9 +221,25 @@ def test_compare_and_listing(spark, tmp_path):
     assert (cards["c"].titolo, cards["c"].scade, cards["d"].ambito, cards["d"].titolo) == ("A b", "09 gen 2026", "Digitale", "(senza titolo)")
 
 
-def test_attachments():
-    assert pages.bytes_to_text("", b"  <html><script>x</script><p>a  b</p>") == "a b"
-    assert pages.bytes_to_text("", b"PK\x03\x04broken") == ""
+def test_attachments(spark):
+    docx = io.BytesIO()
+    with zipfile.ZipFile(docx, "w") as z:
+        z.writestr("word/document.xml", '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:p><w:t>uno </w:t><w:t>due</w:t></w:p><w:p><w:t>tre</w:t></w:p></w:document>')
+    rows = [(1, "", b"  <html><script>x</script><p>a  b</p>"), (2, "", b"PK\x03\x04broken"), (3, None, docx.getvalue()), (4, "", None), (5, "text/html", b"x \xff"), (6, "", b"%PDF-broken")]
+    got = {r.n: r.t for r in spark.createDataFrame(rows, "n int, kind string, data binary").select("n", pages.attachment_text(F.col("kind"), F.col("data")).alias("t")).collect()}
+    assert got == {1: "a b", 2: "", 3: "uno due\ntre", 4: "", 5: "x \ufffd", 6: ""}
+
+
+def test_failures():
+    url = urllib.error.URLError
+    assert pages.failure(urllib.error.HTTPError("u", 503, "", {}, None))[0::2] == ("throttled", 503)
+    assert pages.failure(urllib.error.HTTPError("u", 404, "", {}, None)) == ("final", "HTTPError 404", 404)
+    assert pages.failure(url(ssl.SSLError("bad certificate")))[0] == "certificate"
+    assert pages.failure(url(TimeoutError("timed out"))) == ("slow", "URLError timed out", None) and pages.failure(TimeoutError()) == ("slow", "TimeoutError read timed out", None)
+    assert pages.failure(url("Name or service not known"))[0] == "final"
+
+
+def test_bodies():
     assert pages.unpacked(pages.packed("abc"), "gzip") == b"abc"
     assert pages.unpacked(pages.packed("abcdef" * 500)[:40], "gzip").startswith(b"abc")
     assert pages.unpacked(b"raw", "gzip") == b"raw"

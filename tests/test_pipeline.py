@@ -58,6 +58,9 @@ def test_config(tmp_path):
     (tmp_path / "c.json").write_text('{"regions": ["x"], "threshold": 0.5, "other": 1}')
     told = pipeline.Config.read(str(tmp_path / "c.json"))
     assert (told.regions, told.threshold, told.subpages) == (["x"], 0.5, 3)
+    (tmp_path / "d.json").write_text('{"_nota": 1, "regioni": ["y"], "anagrafe": {"csv_cache": "r.csv"}, "crawl": {"timeout": 7, "max_subpages": 2}, "ai": {"max_per_run": 400}}')
+    told = pipeline.Config.read(str(tmp_path / "d.json"))
+    assert (told.regions, told.registry, told.timeout, told.subpages, told.pending_reviews) == (["y"], "r.csv", 7, 2, 400)
 
 
 def test_act_blocks(spark):
