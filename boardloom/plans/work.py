@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,10 +43,17 @@ def shared_folder(spark: SparkSession) -> str:
         named = spark.conf.get("spark.checkpoint.dir", "")
         if not named and not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="boardloom-"))
+        context.setCheckpointDir(named or _temporary())
     return context.getCheckpointDir()
 
 
+def _temporary() -> str:
+    """A temporary folder that goes with the process."""
+    folder = tempfile.mkdtemp(prefix="boardloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder of its own for the tables of one run, in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
