@@ -89,10 +89,11 @@ def filtered(listing: DataFrame, stato: str = "", category: str = "", region: st
     return rows.where(hay.contains(words.lower().strip())) if words.strip() else rows
 
 
-def result_count(listing: DataFrame) -> DataFrame:
-    """(n, label): how many rows the filters leave, in words."""
+def result_count(listing: DataFrame, stato: str = "") -> DataFrame:
+    """(n, label): how many rows the filters leave, in words, with the stato that is filtered by."""
     n = F.count("*")
-    return listing.agg(n.alias("n"), F.when(n == 1, "1 risultato").otherwise(F.concat(n.cast("string"), F.lit(" risultati"))).alias("label"))
+    named = F.concat(n.cast("string"), F.when(n == 1, " bando").otherwise(" bandi"), F.lit(f" · stato: {stato}" if stato else ""))
+    return listing.agg(n.alias("n"), named.alias("label"))
 
 
 def ordered(listing: DataFrame, by: str = "recent") -> DataFrame:

@@ -296,6 +296,7 @@ def oracle_sql() -> dict[str, str]:
     sql["listing_status"] = f"SELECT stato, count(*) AS n FROM {_SHOWN} GROUP BY stato"
     sql["listing_facets"] = f"SELECT DISTINCT 'category' AS facet, category AS value FROM {_SHOWN} WHERE category IS NOT NULL UNION ALL SELECT DISTINCT 'region', region FROM {_SHOWN} WHERE region IS NOT NULL"
     sql["listing_filtered"] = f"SELECT row_id, score FROM {_SHOWN} WHERE stato = 'ignota' AND category = 'madrelingua' AND contains(lower(concat_ws(' ', school_name, {_TITLE}, {_FIELD}, region)), 'liceo')"
+    sql["listing_count"] = f"SELECT count(*) AS n, count(*)::VARCHAR || CASE count(*) WHEN 1 THEN ' bando' ELSE ' bandi' END || ' · stato: ignota' AS label FROM ({sql['listing_filtered']})"
     sql["listing_by_deadline"] = f"SELECT row_id, scadenza FROM {_SHOWN} WHERE region = 'VENETO'"
     months = "[" + ", ".join(q(m[:3]) for m in MONTHS) + "]"
     ago = f"floor(({NOW} // 1000000 - epoch_us(first_seen) // 1000000) / 86400)::BIGINT"

@@ -315,6 +315,10 @@ def listing_filtered(s: SparkSession, d: str) -> DataFrame:
     return listing.ordered(rows, "conf").select("row_id", "score")
 
 
+def listing_count(s: SparkSession, d: str) -> DataFrame:
+    return listing.result_count(listing.filtered(_listing(s, d), stato="ignota", category="madrelingua", words=" Liceo "), "ignota")
+
+
 def listing_by_deadline(s: SparkSession, d: str) -> DataFrame:
     return listing.ordered(listing.filtered(_listing(s, d), region="VENETO"), "scad").select("row_id", "scadenza")
 
@@ -385,7 +389,7 @@ def queries() -> dict[str, Query]:
         findings_newest, pending_deadlines, pending_deadlines_all, pending_reviews, pending_reviews_run, registry_prefer_site, registry_regions, sites_first, pages_lowest_code, siblings,
         top_scores, best_hits, upsert_findings, insert_only, touch_only, upsert_schools, record_discovery, mark_crawled, set_reviews,
         set_deadlines, reset_reviews, school_origin, next_run, snapshot_meta, snapshot_rows, listing_status, listing_facets,
-        listing_filtered, listing_by_deadline, listing_cards, compare_sides, compare_summary, compare_examples, discover_sites,
+        listing_filtered, listing_count, listing_by_deadline, listing_cards, compare_sides, compare_summary, compare_examples, discover_sites,
         crawl_notices, review_replies, title_matches,
     )
     return {
