@@ -6,6 +6,9 @@ pattern is so evaluated once a row; a single nested expression would normalise t
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,23 +35,40 @@ def _named(hits: Column, names: tuple[str, ...], mark: str = "") -> Column:
     return F.transform(F.filter(pairs, lambda x: x["h"]), lambda x: x["n"])
 
 
-def classify(df: DataFrame, text: Column, title: Column, pack: RulePack, threshold: float = 0.45, veto: bool = True, require_strong: bool = False, out: str = "c") -> DataFrame:
+def _kept(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows that fulfil a condition on columns of the last stage.
+
+    A plain filter would be pushed below the stages, with the normal forms written out for every pattern in it; a
+    column that isn't deterministic keeps it above them.
+    """
+    return df.withColumn("__row", F.monotonically_increasing_id()).where(condition & (F.col("__row") >= 0)).drop("__row")
+
+
+def classify(df: DataFrame, text: Column, title: Column, pack: RulePack, threshold: float = 0.45, veto: bool = True, require_strong: bool = False, out: str = "c", only: bool = False) -> DataFrame:
     """df with struct `out`: is_match, score, category, signals, title_hit.
 
     The weights are added in the pack's order, as doubles, and clamped to 0..1 at the end. A match needs the
     threshold (on the unrounded score), no veto where `veto`, and a strong rule where `require_strong`.
-    Patterns are looked for in title and text joined by a space. NULL texts are empty texts.
+    Patterns are looked for in title and text joined by a space. NULL texts are empty texts. With `only`, rows that
+    don't match leave; most of them after the first tiers, since weak rules alone don't reach the threshold.
     """
     d = df.withColumns({"__head": normalized(title), "__body": normalized(text)}).withColumn("__hay", F.concat("__head", F.lit(" "), "__body"))
     head, hay = F.col("__head"), F.col("__hay")
-    tiers = {
-        "__strong": _hits(hay, pack.strong, pack.hints.get("strong")),
+    first = {"__strong": _hits(hay, pack.strong, pack.hints.get("strong")), "__medium": _hits(hay, pack.medium, pack.hints.get("medium"))}
+    tiers = {} if only else first
+    if only:
+        need = ("__strong",) if require_strong else ("__strong", "__medium") if pack.weak_weight[0] * pack.weak_weight[1] < threshold else ()
+        tiers = {n: c for n, c in first.items() if n not in need}
+        hit = [F.exists(n, lambda x: x) for n in need]
+        no_veto = [~reduce(or_, [hay.rlike(_FLAGS + p) for p in pack.vetoes])] if veto and pack.vetoes else []
+        d = _kept(d.withColumns({n: first[n] for n in need}), reduce(and_, [*([reduce(or_, hit)] if hit else []), *no_veto, F.lit(True)]))
+        veto = False  # looked for already
+    tiers |= {
         "__strong_up": _hits(head, pack.strong, pack.hints.get("strong")),
-        "__medium": _hits(hay, pack.medium),
-        "__medium_up": _hits(head, pack.medium),
+        "__medium_up": _hits(head, pack.medium, pack.hints.get("medium")),
         "__weak": _hits(hay, pack.weak),
         "__guard": _hits(hay, pack.guards),
-        "__cat": F.array(*[hay.rlike(_FLAGS + "(?:" + "|".join(ps) + ")") for _, ps in pack.categories]),
+        "__cat": F.coalesce(*[F.when(hay.rlike(_FLAGS + "(?:" + "|".join(ps) + ")"), n) for n, ps in pack.categories], F.lit(pack.otherwise)),
     }
     if veto:
         tiers["__veto"] = _hits(hay, pack.vetoes)
@@ -71,6 +91,6 @@ def classify(df: DataFrame, text: Column, title: Column, pack: RulePack, thresho
         match = match & F.exists("__strong", lambda x: x)
     up = F.exists(F.arrays_zip("__strong", "__strong_up"), lambda x: x["__strong"] & x["__strong_up"]) | F.exists(F.arrays_zip("__medium", "__medium_up"), lambda x: x["__medium"] & x["__medium_up"])
     signals = F.concat(_named(F.col("__strong"), pack.strong), _named(F.col("__medium"), pack.medium), _named(F.col("__guard"), pack.guards, "-"), F.when(first_veto.isNotNull(), F.array(F.concat(F.lit("VETO:"), first_veto))).otherwise(F.array().cast("array<string>")))
-    category = F.coalesce(_first(F.col("__cat"), tuple(n for n, _ in pack.categories)), F.lit(pack.otherwise))
-    told = F.struct(match.alias("is_match"), F.round("__score", 3).alias("score"), category.alias("category"), signals.alias("signals"), up.alias("title_hit"))
-    return d.select(*df.columns, told.alias(out))
+    told = F.struct(match.alias("is_match"), F.round("__score", 3).alias("score"), F.col("__cat").alias("category"), signals.alias("signals"), up.alias("title_hit"))
+    d = d.select(*df.columns, told.alias(out))
+    return _kept(d, F.col(out).is_match) if only else d

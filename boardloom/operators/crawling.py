@@ -18,7 +18,7 @@ from boardloom.functions.rules import EXPERTS, RulePack
 from boardloom.functions.scoring import classify
 from boardloom.functions.text import SEARCH_PAGE, is_listing, links, listing_rank, platform, snippet, visible_text
 from boardloom.functions.urls import fallback_urls, page_key, part, root_of, same_registrable, same_site
-from boardloom.plans.work import durable
+from boardloom.plans.work import durable, stored
 
 # Paths to try by platform, marks of a notice page in an address, words in a link's text, and signs of
 # hosts without a name or with too much load.
@@ -67,11 +67,11 @@ def probe_paths(kind: Column) -> Column:
 def fetched(requests: DataFrame, url: str, pages: PageSource) -> DataFrame:
     """Requests with the page of `url` or of its first alternative that answers; the error is the original's.
 
-    Adds ok, status, final_url, html and error. `requests` must be unique by url. The winner is chosen from flags; its HTML
-    is joined once. A page function is asked for alternatives only where the original fails, not on a
+    Adds ok, status, final_url, html and error. `requests` must be unique by url. Alternatives are looked up only where the original fails; the
+    winner is chosen from flags; its HTML is joined once. A page function is asked for alternatives only where the original fails, not on a
     host whose name doesn't resolve, and in a hurry where the original was slow or throttled.
     """
-    tries = requests.select(url, F.posexplode(F.concat(F.array(F.col(url)), fallback_urls(F.col(url)))).alias("__n", "__try"))
+    asked = None
     if not isinstance(pages, DataFrame):
         first = durable(lookup(pages, requests.select(F.col(url).alias("url"))))
         bad = first.where("NOT ok").select("url", *[c.alias(n) for n, c in (("dns", no_name(F.col("error"))), ("hurry", slow_or_throttled(F.col("status"), F.col("error"))))])
@@ -80,15 +80,16 @@ def fetched(requests: DataFrame, url: str, pages: PageSource) -> DataFrame:
         wanted = other.groupBy(F.col("other").alias("url")).agg(F.bool_and("hurry").alias("hurry"))
         more = durable(pages(wanted.join(first.select("url"), "url", "left_anti")))
         pages = first.select(*PAGE_COLUMNS).unionByName(more.select(*PAGE_COLUMNS))
-        answered = pages.select("url", "ok")
         # an alternative that wasn't asked for this request doesn't count, even if another request had it
-        tries = tries.join(other.select(F.col("url").alias(url), F.col("other").alias("__try")).withColumn("__asked", F.lit(True)), [url, "__try"], "left").where("__n = 0 OR __asked").drop("__asked")
-    else:
-        answered = pages.select("url", "ok")
-    seen = tries.join(answered.where("ok").select(F.col("url").alias("__page"), F.lit(True).alias("__up")), F.col("__try") == F.col("__page"), "left")
-    best = seen.groupBy(url).agg(F.min_by("__try", F.when(F.col("__up"), F.col("__n"))).alias("__won"))
-    won = requests.join(best, url, "left")
-    told = pages.select(F.col("url").alias("__won"), F.lit(True).alias("__hit"), F.col("status").alias("__status"), F.col("final_url").alias("__final"), F.col("html").alias("__html"))
+        asked = other.select(F.col("url").alias(url), F.col("other").alias("__try"))
+    answered = pages.where("ok").select(F.col("url").alias("__page"))
+    down = requests.select(url).join(answered, F.col(url) == F.col("__page"), "left_anti")
+    tries = down.select(url, F.posexplode(fallback_urls(F.col(url))).alias("__n", "__try"))
+    if asked is not None:
+        tries = tries.join(asked, [url, "__try"], "left_semi")
+    best = tries.join(answered, F.col("__try") == F.col("__page")).groupBy(url).agg(F.min_by("__try", "__n").alias("__other"))
+    won = requests.join(best, url, "left").withColumn("__won", F.coalesce("__other", url)).drop("__other")
+    told = pages.where("ok").select(F.col("url").alias("__won"), F.lit(True).alias("__hit"), F.col("status").alias("__status"), F.col("final_url").alias("__final"), F.col("html").alias("__html"))
     errors = pages.where("NOT coalesce(ok, false)").select(F.col("url").alias(url), F.col("error").alias("__error"))
     full = won.join(told, "__won", "left").join(errors, url, "left")
     up = F.coalesce("__hit", F.lit(False))
@@ -175,10 +176,10 @@ def page_events(read: DataFrame, pack: RulePack = EXPERTS, threshold: float = 0.
     base = read.select("code", "page_seq", "page_url", "html")
     anchors = base.select("code", "page_seq", F.explode(links(F.col("html"), F.col("page_url"))).alias("l"))
     anchors = anchors.where((F.length("l.text") >= MIN_LINK) & ~F.col("l.href").rlike(SEARCH_PAGE))
-    anchors = classify(anchors, F.col("l.text"), F.col("l.text"), pack, threshold).where("c.is_match")
+    anchors = classify(anchors, F.col("l.text"), F.col("l.text"), pack, threshold, only=True)
     a = anchors.select("code", F.col("l.href").alias("url"), F.struct("page_seq", F.lit(0).alias("k"), F.col("l.pos").alias("pos")).alias("seq"), F.lit("anchor").alias("kind"), F.substring("l.text", 1, 300).alias("title"), "c.category", "c.score")
     bodies = base.where(~F.col("page_url").rlike(SEARCH_PAGE)).withColumn("body", visible_text(F.col("html")))
-    bodies = classify(bodies, F.col("body"), F.lit(""), pack, max(threshold, BODY_THRESHOLD), veto=False, require_strong=True).where("c.is_match")
+    bodies = classify(bodies, F.col("body"), F.lit(""), pack, max(threshold, BODY_THRESHOLD), veto=False, require_strong=True, only=True)
     b = bodies.select("code", F.col("page_url").alias("url"), F.struct("page_seq", F.lit(1).alias("k"), F.lit(0).alias("pos")).alias("seq"), F.lit("page").alias("kind"), snippet(F.col("body")).alias("title"), "c.category", "c.score")
     return a.unionByName(b)
 
@@ -207,12 +208,13 @@ def crawl(targets: DataFrame, pages: PageSource, pack: RulePack = EXPERTS, thres
     """(hits, outcomes) of reading each notice page and its likeliest sub-lists.
 
     `targets` has code and trasparenza_url. outcomes: (code, ok, note, pages). A failed sub-list is skipped.
+    The pages read and the sub-lists are stored, for each is used several times.
     """
-    asked = fetched(targets.select("code", "trasparenza_url").where("trasparenza_url != ''"), "trasparenza_url", pages)
+    asked = stored(fetched(targets.select("code", "trasparenza_url").where("trasparenza_url != ''"), "trasparenza_url", pages), "asked")
     entries = asked.where("ok").select("code", F.lit(0).alias("page_seq"), F.col("final_url").alias("page_url"), "html")
-    drill = drill_targets(entries, most)
+    drill = stored(drill_targets(entries, most), "drill")
     unique = fetched(drill.select("url").distinct().withColumnRenamed("url", "sub_url"), "sub_url", pages).where("ok")
-    subs = drill.join(unique, F.col("url") == F.col("sub_url")).select("code", F.col("place").alias("page_seq"), F.col("final_url").alias("page_url"), "html")
+    subs = stored(drill.join(unique, F.col("url") == F.col("sub_url")).select("code", F.col("place").alias("page_seq"), F.col("final_url").alias("page_url"), "html"), "subs")
     hits = best_hits(page_events(entries.unionByName(subs), pack, threshold))
     tried = drill.groupBy("code").agg(F.count("*").alias("subs"))
     outcomes = asked.join(tried, "code", "left").select("code", "ok", F.when(F.col("ok"), "ok").otherwise(F.col("error")).alias("note"), F.when(F.col("ok"), 1 + F.coalesce("subs", F.lit(0))).otherwise(0).cast("int").alias("pages"))

@@ -186,6 +186,16 @@ def test_discover_and_crawl(spark):
     assert {r.code: (r.ok, r.pages) for r in outcomes.collect()} == {"A": (True, 2), "B": (False, 0)}
 
 
+def test_scored_pages_are_read_and_normalised_once(spark):
+    rows = [(f"{HOME}/{i}", True, 200, f"{HOME}/{i}", f'<a href="/n/{i}">Avviso pubblico per la selezione di un esperto esterno</a><a href="/albo/{i % 3}">Albo online</a>', None) for i in range(9)]
+    rows += [(f"{HOME}/albo/{i}", True, 200, f"{HOME}/albo/{i}", f'<a href="/m/{i}">Reclutamento esperti madrelingua</a><a href="/g">Graduatoria esperti esterni</a>', None) for i in range(3)]
+    hits, _ = crawling.crawl(spark.createDataFrame([(str(i), f"{HOME}/{i}") for i in range(9)], "code string, trasparenza_url string"), spark.createDataFrame(rows, PAGES))
+    plan = hits._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Filter" in x and "regexp_replace" in x]  # else every pattern normalises the text anew
+    assert sum("Join" in x for x in plan) == 0  # pages are looked up before, not for each use
+    assert {(r.code, r.url[len(HOME) :]) for r in hits.collect() if r.kind == "anchor"} == {(str(i), u) for i in range(9) for u in (f"/n/{i}", f"/m/{i % 3}")}
+
+
 def test_enrichment(spark):
     read = spark.createDataFrame([("a", HOME, "entro il 3/4/2026"), ("b", HOME, '<a href="/m.pdf">x</a><a href="/d.pdf">y</a>')], "fingerprint string, page_url string, html string")
     att = spark.createDataFrame([(HOME + "/m.pdf", "nulla"), (HOME + "/d.pdf", "scadenza 5/6/2026")], "url string, text string")
