@@ -1,15 +1,14 @@
 """Subject areas of documents (problem 9).
 
-Normalised document vectors of all documents, labelled or not, are clustered by bisecting k-means: the splits
-are made on a sample of them (MAX_CLUSTERED), the centroids are the means over all. Texts become term numbers once; the
-clustering and the assignment read these. The leaves are labelled by
-their discriminative terms, that is by the subjects for which these terms speak; a leaf whose terms speak for
-none has no subject. A document is a mixture of leaves, made from its passages, and gets each subject whose
+Normalised document vectors of all documents, labelled or not, are clustered by bisecting k-means. Beyond CLUSTERED
+documents, parts of this size are first clustered apart, into small clusters that keep the sums and numbers of their
+documents; these are merged in the same way until the rest is bisected, and the centroids are the means over all
+documents. The leaves are labelled by their discriminative terms, that is by the subjects for which these terms speak; a
+leaf whose terms speak for none has no subject. A document is a mixture of leaves, made from its passages, and gets each subject whose
 leaves hold enough of the mixture.
 
-What a word tells is learned from labelled documents (a bounded sample of them, MAX_LABELLED) and weighs the
-vectors; how rare it is comes from all documents. Words that frame passing mentions and menus are learned too:
-where they stand, the subject named is often none of the document's, so passages with them don't count.
+What a word tells is learned from all labelled documents, counted by the tasks, and weighs the vectors; how
+rare it is comes from all documents. Words that frame passing mentions and menus are learned too: where they stand, the subject named is often none of the document's, so passages with them don't count.
 """
 
 from __future__ import annotations
@@ -27,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardloom.plans.work import spread, work_folder
+from boardloom.plans.work import join_small, spread, stored, work_folder
 
-#: Bounds of the samples: labelled documents to learn terms from, documents to cluster. A term is used if it tells at least so much.
-MAX_LABELLED, MAX_CLUSTERED, TELLS = 6_000, 20_000, 0.1
+#: Documents that are clustered at once, parts whose small clusters are merged at once, small clusters for each leaf.
+CLUSTERED, MERGED, SMALL = 20_000, 8, 2
+#: A term is used if it tells at least so much and stands in so many labelled documents.
+TELLS, SEEN = 0.1, 1.5
 #: Leaves, at least and for each subject. A leaf speaks if its best subject has so much of what lies above an equal share.
 LEAVES, LEAVES_EACH, SPEAKS = 96, 8, 0.2
 SEED = 11
@@ -241,22 +242,28 @@ class Model:
         return [self.subjects[i] for i in np.flatnonzero(self.enough(self.mixture(text)[0]))]
 
 
-def bisect(x: np.ndarray | Rows, leaves: int, seed: int = SEED, rounds: int = 12) -> np.ndarray:
-    """Leaf number of each row by bisecting k-means on unit vectors; the widest leaf is split next."""
+def bisect(x: np.ndarray | Rows, leaves: int, seed: int = SEED, rounds: int = 12, weight: np.ndarray | None = None) -> np.ndarray:
+    """Leaf number of each row by bisecting k-means on unit vectors; the widest leaf is split next.
+
+    With `weight`, each row is the sum of so many unit vectors, which stay together.
+    """
     rng = np.random.default_rng(seed)
+    mass = np.ones(len(x)) if weight is None else weight
     leaf = np.zeros(len(x), np.int64)
     spread_of = {0: np.inf}
     while len(spread_of) < leaves:
         at = max(spread_of, key=spread_of.get)
         rows = np.flatnonzero(leaf == at)
-        if spread_of[at] <= 0 or len(rows) < 8:
+        if spread_of[at] <= 0 or mass[rows].sum() < 8 or len(rows) < 2:
             spread_of[at] = -1.0
             if max(spread_of.values()) <= 0:
                 break
             continue
         part = x[rows]
         a = part[rng.integers(len(rows))]
-        b = part[int((part @ a).argmin())]
+        b = part[int((part @ a / mass[rows]).argmin())]
+        if weight is not None:
+            a, b = (c / (np.linalg.norm(c) + 1e-9) for c in (a, b))
         side = np.zeros(len(rows), bool)
         for _ in range(rounds):
             new = part @ b > part @ a
@@ -270,8 +277,9 @@ def bisect(x: np.ndarray | Rows, leaves: int, seed: int = SEED, rounds: int = 12
         new_leaf = len(spread_of)
         leaf[rows[side]] = new_leaf
         for k, r in ((at, rows[~side]), (new_leaf, rows[side])):
-            c = x[r].mean(axis=0)
-            spread_of[k] = float(len(r) * (1 - np.linalg.norm(c))) if len(r) >= 8 else -1.0
+            own = mass[r].sum()
+            c = x[r].mean(axis=0) * (len(r) / own)
+            spread_of[k] = float(own * (1 - np.linalg.norm(c))) if own >= 8 else -1.0
     return leaf
 
 
@@ -290,34 +298,99 @@ def weigh(texts: list[str], labels: list[set[str]], subjects: dict[str, str], ra
                 share[i, index[s]] = 1 / len(own)
     total = share.sum(axis=0) + 1
     by_term: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(names)))
-    counts = [Counter(t for p in doc for t in terms(p)) for doc in read]
-    for i, c in enumerate(counts):
-        for t in c:
+    for i, doc in enumerate(read):
+        for t in {t for p in doc for t in terms(p)}:
             by_term[t] += share[i]
-    base = total / total.sum()
-    kept = sorted(t for t, v in by_term.items() if v.sum() >= 1.5 and t != "<short>")
+    kept = sorted(by_term)
     matrix = np.array([by_term[t] for t in kept]).reshape(len(kept), len(names))
+    top = np.flatnonzero(_telling(kept, matrix, total))
+    return _weighted(names, [kept[i] for i in top], matrix[top], total, rarity)
+
+
+def _tells(matrix: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For which subjects each term speaks, and how much it tells, from the shares of the labelled documents that have it."""
+    base = total / total.sum()
     p = (matrix + base) / (matrix.sum(axis=1, keepdims=True) + 1.0)
-    tells = (p * np.log(p / base)).sum(axis=1) / math.log(max(len(names), 2))
-    top = np.flatnonzero(tells >= TELLS)
-    kept, matrix, p, tells = [kept[i] for i in top], matrix[top], p[top], tells[top]
+    return p, (p * np.log(p / base)).sum(axis=1) / math.log(max(len(total), 2))
+
+
+def _telling(found: list[str], matrix: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Which terms are used."""
+    return (matrix.sum(axis=1) >= SEEN) & (_tells(matrix, total)[1] >= TELLS) & np.array([t != "<short>" for t in found], bool)
+
+
+def _weighted(names: list[str], kept: list[str], matrix: np.ndarray, total: np.ndarray, rarity: dict[str, float]) -> Model:
+    """The model of the terms that are used."""
+    p, tells = _tells(matrix, total)
     number = {t: i for i, t in enumerate(kept)}
     # a pair is as rare as its rarer word; what tells most weighs most, else the leaves part languages and frames
     weight = np.array([max(rarity.get(w, 5.0) for w in t.split(" ")) for t in number]) * tells**3
     return Model(names, number, weight, tells, p)
 
 
-def split(model: Model, rows: Rows) -> None:
-    """Give the model its leaves by bisecting k-means over the vectors."""
-    leaf = bisect(rows, max(LEAVES, LEAVES_EACH * len(model.subjects)))
+def labelled_terms(labelled: DataFrame, names: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The terms that are used, their shares by subject and the subjects' shares, counted over all rows of (text, subjects)."""
+    index = {n: i for i, n in enumerate(names)}
+    total = np.ones(len(names))
+    for r in labelled.select(F.explode("subjects").alias("s"), F.size("subjects").alias("own")).groupBy("s", "own").count().orderBy("s", "own").collect():
+        if r["s"] in index:
+            total[index[r["s"]]] += r["count"] / r["own"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            keys = list(held)
+            columns = [pa.array([k[n] for k in keys], t) for n, t in enumerate((pa.string(), pa.int32(), pa.int32()))]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(list(held.values()), pa.int64())], names=["term", "subject", "own", "n"])
+            held.clear()
+            return out
+
+        for batch in batches:
+            for text, own in zip(batch.column("text").to_pylist(), batch.column("subjects").to_pylist(), strict=True):
+                known = [index[x] for x in own if x in index]
+                if known:
+                    held.update((t, k, len(own)) for t in {t for p in passages(text) for t in terms(p)} for k in known)
+                if len(held) > 500_000:
+                    yield flush()
+        if held:
+            yield flush()
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column("term").to_pylist()
+            matrix = np.zeros((len(found), len(names)))
+            for i, own in enumerate(batch.column("held").to_pylist()):
+                for x in own:
+                    matrix[i, x["subject"]] += x["n"] / x["own"]
+            top = np.flatnonzero(_telling(found, matrix, total))
+            yield pa.RecordBatch.from_arrays([pa.array([found[i] for i in top], pa.string()), pa.array(list(matrix[top]), pa.list_(pa.float64()))], names=["term", "shares"])
+
+    counts = labelled.select("text", "subjects").mapInArrow(count, "term string, subject int, own int, n bigint").groupBy("term", "subject", "own").agg(F.sum("n").alias("n"))
+    held = counts.groupBy("term").agg(F.sort_array(F.collect_list(F.struct("subject", "own", "n"))).alias("held"))
+    used = sorted((r["term"], r["shares"]) for r in held.mapInArrow(tell, "term string, shares array<double>").collect())
+    return [t for t, _ in used], np.array([v for _, v in used]).reshape(len(used), len(names)), total
+
+
+def _leaves(model: Model) -> int:
+    return max(LEAVES, LEAVES_EACH * len(model.subjects))
+
+
+def _summed(rows: Rows, leaf: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the vectors of each leaf, and how many documents it has."""
     count = int(leaf.max()) + 1 if len(leaf) else 0
-    members = np.bincount(leaf, minlength=count)
     at = np.repeat(leaf, np.diff(rows.ptr)) * rows.width + rows.ids
-    model.set_leaves(np.bincount(at, rows.values, count * rows.width).reshape(count, rows.width), members)
+    return np.bincount(at, rows.values, count * rows.width).reshape(count, rows.width), np.rint(np.bincount(leaf, weight, minlength=count)).astype(np.int64)
 
 
-def learn_trust(model: Model, texts: list[str], labels: list[set[str]]) -> None:
-    """Learn from labelled texts the words near which the leaves' subject is often none of the text's."""
+def split(model: Model, rows: Rows, weight: np.ndarray | None = None) -> None:
+    """Give the model its leaves by bisecting k-means over the vectors, or over small clusters of them with their weights."""
+    leaf = bisect(rows, _leaves(model), weight=weight)
+    model.set_leaves(*_summed(rows, leaf, np.ones(len(leaf)) if weight is None else weight))
+
+
+def _trusted(model: Model, texts: list[str], labels: list[set[str]]) -> tuple[Counter, Counter]:
+    """Of each word, how many telling passages it stands in, and in how many the leaves' subject is the text's."""
     right, seen = Counter(), Counter()
     for text, own in zip(texts, labels, strict=True):
         rows = [(words, ids) for words in passages(text) if (ids := [i for i in model.ids_of(words) if model.telling[i] >= TOLD])]
@@ -332,9 +405,31 @@ def learn_trust(model: Model, texts: list[str], labels: list[set[str]]) -> None:
                     seen[w] += 1
                     right[w] += ok
             done += len(like)
+    return seen, right
+
+
+def learn_trust(model: Model, texts: list[str], labels: list[set[str]]) -> None:
+    """Learn from labelled texts the words near which the leaves' subject is often none of the text's."""
+    seen, right = _trusted(model, texts, labels)
     model.trust = {w: (right[w] + 2) / (n + 2) for w, n in seen.items() if n >= 8 and (right[w] + 2) / (n + 2) < 0.5}
 
 
+def learn_trust_of(model: Model, labelled: DataFrame) -> None:
+    """As learn_trust(), over all rows of (text, subjects), counted by the tasks."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen, right = _trusted(shared.value, batch.column("text").to_pylist(), [set(x) for x in batch.column("subjects").to_pylist()])
+            words = list(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([int(c[w]) for w in words], pa.int64()) for c in (seen, right))], names=["word", "n", "ok"])
+
+    sums = labelled.select("text", "subjects").mapInArrow(run, "word string, n bigint, ok bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"))
+    found = sums.where("n >= 8").withColumn("trust", (F.col("ok") + 2) / (F.col("n") + 2)).where("trust < 0.5").collect()
+    shared.destroy()
+    model.trust = {r["word"]: r["trust"] for r in found}
+
+
 def fit(texts: list[str], labels: list[set[str]], subjects: dict[str, str], rarity: dict[str, float], others: list[str] | None = None) -> Model:
     """Learn the model from labelled texts and cluster these and `others`, which have no labels."""
     model = weigh(texts, labels, subjects, rarity)
@@ -344,32 +439,92 @@ def fit(texts: list[str], labels: list[set[str]], subjects: dict[str, str], rari
 
 
 def rarity_of(documents: DataFrame, words: set[str]) -> dict[str, float]:
-    """idf of the given words, those of the labelled sample, counted over all documents."""
+    """idf of the given words, those of the terms, counted over all documents."""
     if not words:
         return {}
-    wanted = documents.sparkSession.createDataFrame([(w,) for w in sorted(words)], "word string")  # bounded by the sample
+    wanted = documents.sparkSession.createDataFrame([(w,) for w in sorted(words)], "word string")  # bounded by the terms
     held = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("word"))
     counts = {r["word"]: r["count"] for r in held.join(F.broadcast(wanted), "word").groupBy("word").count().collect()}
     total = documents.count()
     return {w: math.log((1 + total) / counts.get(w, 1)) for w in words}
 
 
-def _vectors(documents: DataFrame, model: Model) -> Rows:
-    """Vectors of documents on the driver, in the order of their ids."""
+def vectors(documents: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, ids, vals, n) of the documents with a known term, n being 1, as a table in the shared folder."""
     shared = documents.sparkSession.sparkContext.broadcast(model.reader())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shared.value.vector(t) if t else None for t in batch.column("text").to_pylist()]
-            kept = pa.array([v is not None for v in found])
+            kept = pa.array([v is not None for v in found], pa.bool_())
             ids, values = (pa.array([v[k] for v in found if v is not None], pa.list_(kind)) for k, kind in ((0, pa.int32()), (1, pa.float32())))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(kept), ids, values], names=["doc_id", "ids", "values"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(kept), ids, values, pa.array([1] * len(ids), pa.int64())], names=["doc_id", "ids", "vals", "n"])
 
     kind = dict(documents.dtypes)["doc_id"]
-    got = documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, values array<float>").orderBy("doc_id").toArrow()
+    out = stored(documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, vals array<float>, n bigint"), "vectors")
     shared.destroy()
-    ids, values = (got.column(c).combine_chunks() for c in ("ids", "values"))
-    return Rows(ids.flatten().to_numpy(), values.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64), len(model.number))
+    return out
+
+
+def _merged(rows: DataFrame, leaves: int, width: int, most: int) -> DataFrame:
+    """The rows (part, place, ids, vals, n) of each part, clustered into so many sums; a part of more than `most` rows in several turns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        weight: list[int] = []
+        part = turn = None
+
+        def flush() -> pa.RecordBatch:
+            own, mass = Rows.of(held, width), np.array(weight, np.float64)
+            ids, vals, counts = [], [], []
+            leaf = bisect(own, leaves, weight=mass)
+            for k in range(int(leaf.max()) + 1):
+                some = own[leaf == k]
+                at, back = np.unique(some.ids, return_inverse=True)
+                ids.append(at.astype(np.int32))
+                vals.append(np.bincount(back, some.values).astype(np.float32))
+                counts.append(int(mass[leaf == k].sum()))
+            size = len(ids)
+            held.clear()
+            weight.clear()
+            columns = [pa.array([part] * size, pa.int32()), pa.array(range(turn, turn + size), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(vals, pa.list_(pa.float32())), pa.array(counts, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["part", "place", "ids", "vals", "n"])
+
+        for batch in batches:
+            for at, ids, vals, n in zip(batch.column("part").to_pylist(), batch.column("ids"), batch.column("vals"), batch.column("n").to_pylist(), strict=True):
+                if held and (at != part or len(held) >= most):
+                    yield flush()
+                    turn += leaves
+                if at != part:
+                    part, turn = at, 0
+                held.append((ids.values.to_numpy(), vals.values.to_numpy()))
+                weight.append(n)
+        if held:
+            yield flush()
+
+    dealt = rows.repartition("part").sortWithinPartitions("part", "place")
+    return stored(dealt.mapInArrow(run, "part int, place bigint, ids array<int>, vals array<float>, n bigint"), "clusters")
+
+
+def cluster(documents: DataFrame, model: Model, clustered: int = CLUSTERED) -> None:
+    """Give the model its leaves, from the vectors of all documents; the driver gets at most `clustered` of them, or as many small clusters as MERGED parts have."""
+    rows = vectors(documents, model)
+    parts = -(-rows.count() // clustered)
+    order = "doc_id"
+    if parts > 1:
+        part = F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("doc_id")), F.lit(parts)).cast("int")
+        rows, order = rows.select(part.alias("part"), F.col("doc_id").alias("place"), "ids", "vals", "n"), "place"
+        small = SMALL * _leaves(model)
+        rows = _merged(rows, small, len(model.number), 2 * clustered)
+        while parts > MERGED:
+            parts = -(-parts // MERGED)
+            place = F.col("part").cast("bigint") * (1 << 40) + F.col("place")
+            rows = _merged(rows.select((F.col("part") / MERGED).cast("int").alias("part"), place.alias("place"), "ids", "vals", "n"), small, len(model.number), 2 * MERGED * small)
+        rows = rows.withColumn("place", F.col("part").cast("bigint") * (1 << 40) + F.col("place"))
+    got = rows.orderBy(order).select("ids", "vals", "n").toArrow()
+    ids, values = (got.column(c).combine_chunks() for c in ("ids", "vals"))
+    own = Rows(ids.flatten().to_numpy(), values.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64), len(model.number))
+    split(model, own, got.column("n").to_numpy().astype(np.float64) if order == "place" else None)
 
 
 def numbered(documents: DataFrame, model: Model) -> DataFrame:
@@ -429,20 +584,20 @@ def settle(documents: DataFrame, model: Model) -> None:
     model.set_leaves(sums[:, :-1] / (1 << 24), sums[:, -1])
 
 
-def learn(documents: DataFrame, labels: DataFrame, subjects: DataFrame, most: int = MAX_LABELLED, clustered: int = MAX_CLUSTERED) -> Model:
-    """Learn the terms from at most `most` labelled documents, drawn by the hash of their id; cluster about `clustered` of all documents."""
+def learn(documents: DataFrame, labels: DataFrame, subjects: DataFrame, clustered: int = CLUSTERED) -> Model:
+    """Learn the terms from all labelled documents and cluster all documents, `clustered` of them at once."""
+    spark = documents.sparkSession
     own = labels.groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
-    some = own.orderBy(F.xxhash64(F.lit(SEED), F.col("doc_id")), "doc_id").limit(most)  # bounded, so it may be broadcast
-    drawn = documents.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(some), "doc_id").orderBy("doc_id").collect()
-    texts, given = [r["text"] for r in drawn], [set(r["subjects"]) for r in drawn]
+    given = stored(join_small(documents.select("doc_id", "text").where("text IS NOT NULL"), own, "doc_id").select("text", "subjects"), "labelled")
     described = {r["subject"]: r["description"] or "" for r in subjects.collect()}
-    words = {w for t in [*texts, *described.values(), *described] for p in passages(t) for w in p if w[0] != "<"}
-    model = weigh(texts, given, described, rarity_of(documents, words))
+    names = sorted(described)
+    # a description is a labelled text
+    rows = spark.createDataFrame([(f"{described[n]}. {described[n]}", [n]) for n in names], "text string, subjects array<string>")
+    kept, matrix, total = labelled_terms(given.unionByName(rows), names)
+    model = _weighted(names, kept, matrix, total, rarity_of(documents, {w for t in kept for w in t.split(" ") if w[0] != "<"}))
     if model.number:
-        share = clustered / max(documents.count(), 1)
-        part = documents.where(F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("doc_id")), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else documents
-        split(model, _vectors(part, model))
-        learn_trust(model, texts, given)
+        cluster(documents, model, clustered)
+        learn_trust_of(model, given)
     return model
 
 

@@ -93,3 +93,23 @@ def test_sparse_rows_equal_dense_ones():
     some = np.array([7, 3, 3])
     assert np.allclose(rows[some] @ dense[0], dense[some] @ dense[0]) and np.allclose(rows.mean(), dense.mean(axis=0)) and np.allclose(rows[5], dense[5])
     assert (sj.bisect(rows, 5) == sj.bisect(dense, 5)).all()
+
+
+def test_terms_and_leaves_come_from_all_documents(spark):
+    truth, rng = corpus(700, 6)
+    rows = [(i, document(rng, sorted(own))) for i, own in truth]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").cache()
+    labels = spark.createDataFrame([(i, s) for i, own in truth[:500] for s in own], "doc_id bigint, subject string")
+    names = spark.createDataFrame([(s, "") for s in TOPICS], "subject string, description string")
+    given = [(t, own) for (i, own), (_, t) in zip(truth[:500], rows, strict=False) if own]
+    want = sj.weigh([t for t, _ in given], [own for _, own in given], {s: "" for s in TOPICS}, {})
+    for clustered in (10_000, 200, 30):
+        model = sj.learn(docs, labels, names, clustered=clustered)
+        assert list(model.number) == list(want.number) and np.allclose(model.tells, want.tells)
+        assert model.members.sum() == sum(model.vector(t) is not None for _, t in rows)
+        trusted = sj.replace(model)
+        trusted.centroids, trusted.leaf_subject = model.centroids, model.leaf_subject
+        trusted._turn()
+        sj.learn_trust(trusted, [t for t, _ in given], [own for _, own in given])
+        assert trusted.trust == model.trust
+        assert model.subjects_of(document(rng, ["sport"])) == ["sport"]
